@@ -169,9 +169,10 @@ def store_account_reroute(channel, matched) -> Column:
 
 # F17 --------------------------------------------------------------------------
 def stringify_number(c) -> Column:
-    """Number -> text; integral values print without decimals; blank -> null."""
+    """Number -> text; integral values print without decimals; blank -> null.
+    For text input use ``nullif(trim(c), '')`` (text passes through)."""
     x = as_col(c)
-    d = x.cast("double")
+    d = x.try_cast("double")
     return F.when(x.isNull(), F.lit(None).cast("string")) \
         .when(d == F.floor(d), d.cast("bigint").cast("string")) \
         .otherwise(x.cast("string"))

@@ -293,3 +293,306 @@ SELECT salesperson, {money('subtotal')} AS revenue, COUNT(DISTINCT sale_id) AS t
 FROM clean WHERE salesperson IS NOT NULL GROUP BY 1""")
 def q_staff_rollup(spark, sf):
     return R.staff_rollup(clean(spark, sf, ("salesperson",)))
+
+
+# =============================================================== ingestion / ETL
+from tillpoint.functions import scalars as S  # noqa: E402
+from tillpoint.operators import ledger as LG  # noqa: E402
+from tillpoint.operators import resolve as RV  # noqa: E402
+from tillpoint.operators import sales as SA  # noqa: E402
+from tillpoint.plans.sqlparts import (PAYMENT_TEXT as PAYMENT_TEXT_O, PLINES,  # noqa: E402
+                                      SALE_AGG, SHEET, change_due,
+                                      clean_text, is_anon, parse_dt_multi, parse_int,
+                                      parse_money, parse_sale_id, payments, stable_shard)
+from tillpoint.sources.tables import table  # noqa: E402
+
+WS = with_(SHEET, PLINES, SALE_AGG)
+
+
+def sheet_lines(spark, sf):
+    return SA.parsed_lines(SI.driver_sheet(spark, sf))
+
+
+@register("sale_id_parse", with_(SHEET) + f"""
+SELECT sale_id AS sale_id_raw, {parse_sale_id('sale_id')} AS sale_id FROM sheet""")
+def q_sale_id_parse(spark, sf):
+    return SI.driver_sheet(spark, sf).select(
+        F.col("sale_id").alias("sale_id_raw"), S.parse_sale_id("sale_id").alias("sale_id"))
+
+
+@register("normalise_lines", with_(SHEET, PLINES) + """
+SELECT sale_id, pos_item_id, item_name, quantity FROM plines""")
+def q_normalise_lines(spark, sf):
+    return sheet_lines(spark, sf).select("sale_id", "pos_item_id", "item_name", "quantity")
+
+
+@register("build_sales", WS + f"""
+SELECT sale_id, {clean_text('invoice_datetime')} AS invoice_datetime_raw,
+       {clean_text('salesperson')} AS salesperson, {clean_text('customer_name')} AS customer_name,
+       {is_anon(clean_text('customer_name'))} AS is_anonymous_customer,
+       NULLIF(trim(invoice_total), '') AS invoice_total_raw, {clean_text('comment')} AS comment, n_lines,
+       items_sold, items_returned, CAST(len({payments('payment_type')}) AS INTEGER) AS n_payments,
+       {change_due(payments('payment_type'))} AS change_due
+FROM sagg""")
+def q_build_sales(spark, sf):
+    return SA.build_sales(sheet_lines(spark, sf))
+
+
+@register("invoice_counts", WS + """
+SELECT sale_id, items_sold, items_returned, items_sold - items_returned AS items_net, qty_exact
+FROM sagg""")
+def q_invoice_counts(spark, sf):
+    return SA.invoice_counts(sheet_lines(spark, sf))
+
+
+_REASONS_SQL = f"""list_filter([
+  CASE WHEN {clean_text('salesperson')} IS NULL THEN 'missing_salesperson' END,
+  CASE WHEN {parse_dt_multi('invoice_datetime')} IS NULL THEN 'bad_datetime' END,
+  CASE WHEN {parse_money('invoice_total')} IS NULL THEN 'bad_invoice_total' END,
+  CASE WHEN n_bad_item_id > 0 THEN 'bad_item_id' END,
+  CASE WHEN n_bad_price > 0 THEN 'bad_item_price' END,
+  CASE WHEN n_bad_qty > 0 THEN 'bad_item_quantity' END,
+  CASE WHEN n_bad_total > 0 THEN 'bad_item_total' END,
+  CASE WHEN COALESCE(list_bool_or(list_transform({payments('payment_type')},
+       lambda p: {parse_money('p.amount')} IS NULL)), false) THEN 'bad_payment_amount' END
+  ], lambda x: x IS NOT NULL)"""
+
+_VALIDATED = f"""validated AS (
+  SELECT sale_id, {parse_dt_multi('invoice_datetime')} AS invoice_datetime,
+    {clean_text('salesperson')} AS salesperson,
+    COALESCE({clean_text('customer_name')}, 'Unknown Customer') AS customer_name,
+    {is_anon(clean_text('customer_name'))} AS is_anonymous_customer,
+    CAST({parse_money('invoice_total')} AS DOUBLE) AS invoice_total,
+    CAST({parse_money(change_due(payments('payment_type')))} AS DOUBLE) AS change_due,
+    items_sold, items_returned, items_sold - items_returned AS items_net,
+    {clean_text('comment')} AS comment, pos_customer_id,
+    len({_REASONS_SQL}) = 0 AS accepted, array_to_string({_REASONS_SQL}, ',') AS reasons
+  FROM sagg)"""
+
+VALID_COLS = ["sale_id", "invoice_datetime", "salesperson", "customer_name",
+              "is_anonymous_customer", "invoice_total", "change_due", "items_sold",
+              "items_returned", "items_net", "comment", "accepted", "reasons"]
+
+
+def validated(spark, sf):
+    v = SA.validate_sales(sheet_lines(spark, sf))
+    return v.withColumn("invoice_total", F.col("invoice_total").cast("double")) \
+        .withColumn("change_due", F.col("change_due").cast("double"))
+
+
+@register("validate_sales", with_(SHEET, PLINES, SALE_AGG, _VALIDATED) + f"""
+SELECT {', '.join(VALID_COLS)} FROM validated""")
+def q_validate_sales(spark, sf):
+    return validated(spark, sf).select(*VALID_COLS)
+
+
+_REF = """ref AS (
+  SELECT regexp_replace(lower(c_name), '^\\s+|\\s+$', '', 'g') AS _key,
+         arg_max(c_custkey, c_custkey) AS _ref_id
+  FROM customer WHERE c_name IS NOT NULL AND trim(c_name) <> '' GROUP BY 1)"""
+
+_RESOLVED = """resolved AS (
+  SELECT v.*, COALESCE(r._ref_id, 23) AS pos_customer_id_r, r._ref_id IS NULL AS pos_customer_id_defaulted
+  FROM validated v LEFT JOIN ref r
+    ON regexp_replace(lower(v.customer_name), '^\\s+|\\s+$', '', 'g') = r._key)"""
+
+
+def resolved(spark, sf):
+    return RV.resolve_customers(validated(spark, sf), table(spark, sf, "customer"))
+
+
+@register("customer_resolve_exact", with_(SHEET, PLINES, SALE_AGG, _VALIDATED, _REF, _RESOLVED) + """
+SELECT sale_id, customer_name, pos_customer_id_r AS pos_customer_id, pos_customer_id_defaulted
+FROM resolved""")
+def q_customer_resolve_exact(spark, sf):
+    return resolved(spark, sf).select("sale_id", "customer_name", "pos_customer_id",
+                                      "pos_customer_id_defaulted")
+
+
+@register("db_row", with_(SHEET, PLINES, SALE_AGG, _VALIDATED, _REF, _RESOLVED) + """
+SELECT sale_id AS pos_sale_id, invoice_total, pos_customer_id_r AS pos_customer_id, customer_name,
+  salesperson, CASE WHEN epoch_us(invoice_datetime) % 1000000 = 0
+    THEN strftime(invoice_datetime, '%Y-%m-%dT%H:%M:%S')
+    ELSE strftime(invoice_datetime, '%Y-%m-%dT%H:%M:%S.%f') END AS invoice_datetime,
+  comment, is_anonymous_customer, items_net, items_sold, items_returned
+FROM resolved WHERE accepted""")
+def q_db_row(spark, sf):
+    return SA.db_row(resolved(spark, sf))
+
+
+@register("reference_scan", """
+SELECT c_custkey AS id, c_name AS first_name FROM customer
+WHERE c_name IS NOT NULL AND c_name <> ''""")
+def q_reference_scan(spark, sf):
+    from tillpoint.sources.reference import read_reference
+    return read_reference(table(spark, sf, "customer"), {"c_custkey": "id", "c_name": "first_name"},
+                          key="first_name")
+
+
+# ledger: sales loaded by earlier runs = accepted sales dated before the report start
+
+
+def ledger_of(v):
+    return LG.ledger_rows(v.filter(F.col("accepted") & (F.col("invoice_datetime") <
+                                   F.lit(SI.REPORT_START).cast("timestamp_ntz"))))
+
+
+_LEDGER = f"""ledger AS (SELECT DISTINCT sale_id FROM validated
+  WHERE accepted AND invoice_datetime < TIMESTAMP '{SI.REPORT_START}')"""
+
+
+@register("dedup_ledger", with_(SHEET, PLINES, SALE_AGG, _VALIDATED, _LEDGER) + """
+SELECT DISTINCT v.sale_id, sha256(CAST(v.sale_id AS VARCHAR)) AS fingerprint FROM validated v
+WHERE v.accepted AND v.sale_id NOT IN (SELECT sale_id FROM ledger)""")
+def q_dedup_ledger(spark, sf):
+    v = validated(spark, sf)
+    return LG.ledger_rows(LG.new_sales(v, ledger_of(v)))
+
+
+@register("run_summary", with_(SHEET, PLINES, SALE_AGG, _VALIDATED, _LEDGER) + """
+SELECT COUNT(*) AS loaded,
+  COUNT(*) FILTER (WHERE accepted AND sale_id NOT IN (SELECT sale_id FROM ledger)) AS inserted,
+  COUNT(*) FILTER (WHERE accepted AND sale_id IN (SELECT sale_id FROM ledger)) AS duplicates,
+  COUNT(*) FILTER (WHERE NOT accepted) AS failed
+FROM validated""")
+def q_run_summary(spark, sf):
+    v = validated(spark, sf)
+    return LG.run_summary(LG.tag_outcomes(v, ledger_of(v)))
+
+
+# ---------------------------------------------------------------- scalar parse family
+
+@register("money_parse", with_(SHEET) + f"""
+SELECT unit_price AS unit_price_raw, CAST({parse_money('unit_price')} AS DOUBLE) AS unit_price,
+       invoice_total AS invoice_total_raw, CAST({parse_money('invoice_total')} AS DOUBLE) AS invoice_total
+FROM sheet""")
+def q_money_parse(spark, sf):
+    return SI.driver_sheet(spark, sf).select(
+        F.col("unit_price").alias("unit_price_raw"),
+        S.parse_money("unit_price").cast("double").alias("unit_price"),
+        F.col("invoice_total").alias("invoice_total_raw"),
+        S.parse_money("invoice_total").cast("double").alias("invoice_total"))
+
+
+@register("int_parse", with_(SHEET) + f"""
+SELECT quantity AS quantity_raw, {parse_int('quantity')} AS quantity,
+       pos_item_id AS pos_item_id_raw, {parse_int('pos_item_id')} AS pos_item_id FROM sheet""")
+def q_int_parse(spark, sf):
+    return SI.driver_sheet(spark, sf).select(
+        F.col("quantity").alias("quantity_raw"), S.parse_int("quantity").alias("quantity"),
+        F.col("pos_item_id").alias("pos_item_id_raw"), S.parse_int("pos_item_id").alias("pos_item_id"))
+
+
+@register("date_parse", with_(SHEET) + """
+SELECT invoice_datetime AS raw, try_strptime(trim(invoice_datetime), '%m/%d/%Y-%I:%M %p') AS parsed,
+       CAST(try_strptime(trim(invoice_datetime), '%m/%d/%Y-%I:%M %p') AS DATE) AS sale_date,
+       CAST(hour(try_strptime(trim(invoice_datetime), '%m/%d/%Y-%I:%M %p')) AS INTEGER) AS hour,
+       dayname(try_strptime(trim(invoice_datetime), '%m/%d/%Y-%I:%M %p')) AS day_of_week
+FROM sheet""")
+def q_date_parse(spark, sf):
+    t = S.parse_sheet_datetime("invoice_datetime")
+    return SI.driver_sheet(spark, sf).select(
+        F.col("invoice_datetime").alias("raw"), t.alias("parsed"), F.to_date(t).alias("sale_date"),
+        F.hour(t).alias("hour"), S.day_name(t).alias("day_of_week"))
+
+
+@register("date_parse_multi", f"""
+WITH t AS (SELECT o_orderkey, CASE o_orderkey % 3
+    WHEN 0 THEN strftime(o_orderdate + to_hours(o_orderkey % 24), '%m/%d/%Y-%I:%M %p')
+    WHEN 1 THEN strftime(o_orderdate + to_hours(o_orderkey % 24), '%Y-%m-%dT%H:%M:%S')
+    ELSE strftime(o_orderdate + to_hours(o_orderkey % 24), '%d/%m/%Y %H:%M:%S') END AS raw FROM orders)
+SELECT o_orderkey, raw, {parse_dt_multi('raw')} AS parsed FROM t""")
+def q_date_parse_multi(spark, sf):
+    o = table(spark, sf, "orders")
+    ts = F.timestamp_add("HOUR", F.col("o_orderkey") % 24, F.col("o_orderdate"))
+    k = F.col("o_orderkey") % 3
+    raw = F.when(k == 0, F.date_format(ts, "MM/dd/yyyy-hh:mm a")) \
+        .when(k == 1, F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")) \
+        .otherwise(F.date_format(ts, "dd/MM/yyyy HH:mm:ss"))
+    return o.select("o_orderkey", raw.alias("raw")).select(
+        "o_orderkey", "raw", S.parse_datetime_multi("raw").alias("parsed"))
+
+
+@register("clean_text", with_(SHEET) + f"""
+SELECT salesperson AS salesperson_raw, {clean_text('salesperson')} AS salesperson,
+       customer_name AS customer_name_raw, {clean_text('customer_name')} AS customer_name FROM sheet""")
+def q_clean_text(spark, sf):
+    return SI.driver_sheet(spark, sf).select(
+        F.col("salesperson").alias("salesperson_raw"), S.clean_text("salesperson").alias("salesperson"),
+        F.col("customer_name").alias("customer_name_raw"),
+        S.clean_text("customer_name").alias("customer_name"))
+
+
+@register("anonymous_flag", with_(SHEET) + f"""
+SELECT customer_name, {is_anon('customer_name')} AS is_anonymous_customer,
+       COUNT(*) AS n_lines FROM sheet GROUP BY customer_name""")
+def q_anonymous_flag(spark, sf):
+    return SI.driver_sheet(spark, sf).groupBy("customer_name").agg(
+        F.count(F.lit(1)).alias("n_lines")).select(
+        "customer_name", S.is_anonymous("customer_name").alias("is_anonymous_customer"), "n_lines")
+
+
+@register("fingerprints", """
+SELECT o_orderkey AS sale_id, sha256(CAST(o_orderkey AS VARCHAR)) AS sale_fingerprint,
+       md5(o_comment_text) AS text_fingerprint
+FROM (SELECT o_orderkey, o_orderpriority || '|' || o_orderstatus AS o_comment_text FROM orders) t""")
+def q_fingerprints(spark, sf):
+    o = table(spark, sf, "orders")
+    return o.select(F.col("o_orderkey").alias("sale_id"),
+                    S.fingerprint_sale("o_orderkey").alias("sale_fingerprint"),
+                    S.fingerprint_page(F.concat_ws("|", "o_orderpriority", "o_orderstatus"))
+                    .alias("text_fingerprint"))
+
+
+SHARDS = 8
+
+
+@register("stable_shard", f"""
+SELECT o_orderkey AS sale_id, {stable_shard('o_orderkey', SHARDS)} AS shard FROM orders""")
+def q_stable_shard(spark, sf):
+    return table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("sale_id"), S.stable_shard("o_orderkey", SHARDS).alias("shard"))
+
+
+# ------------------------------------------------------------------- payments
+
+_HDR = f"""hdr AS (SELECT o_orderkey AS sale_id, o_orderdate AS invoice_datetime,
+  {PAYMENT_TEXT_O} AS payment_type FROM orders o)"""
+
+
+def headers(spark, sf):
+    return SI.driver_sale_headers(spark, sf)
+
+
+@register("payments_parse", with_(_HDR) + f"""
+SELECT sale_id, CAST(i - 1 AS INTEGER) AS pos, pays[i].channel AS channel, pays[i].amount AS amount
+FROM (SELECT sale_id, {payments('payment_type')} AS pays FROM hdr) t,
+     range(1, len(pays) + 1) r(i)""")
+def q_payments_parse(spark, sf):
+    return SA.sale_payments(headers(spark, sf))
+
+
+@register("change_due", with_(_HDR) + f"""
+SELECT sale_id, {change_due(payments('payment_type'))} AS change_due FROM hdr""")
+def q_change_due(spark, sf):
+    return headers(spark, sf).select("sale_id", S.change_due(S.parse_payments("payment_type"))
+                                     .alias("change_due"))
+
+
+_RISK = """CASE WHEN contains(upper(channel), 'STORE ACCOUNT') THEN 'HIGH'
+  WHEN contains(upper(channel), 'ACCESS BANK') THEN 'LOW' WHEN contains(upper(channel), 'MONIEPOINT') THEN 'LOW'
+  WHEN contains(upper(channel), 'CASH') THEN 'MEDIUM' ELSE 'UNKNOWN' END"""
+
+
+@register("payment_mix", with_(_HDR) + f"""
+, p AS (SELECT sale_id, x.channel AS channel, {parse_money('x.amount')} AS amount
+        FROM (SELECT sale_id, unnest({payments('payment_type')}) AS x FROM hdr
+              WHERE invoice_datetime >= TIMESTAMP '{SI.REPORT_START}') t)
+SELECT channel, COUNT(DISTINCT sale_id) AS transactions, {money('amount')} AS revenue,
+       {div(money('amount'), f"(SELECT {money('amount')} FROM p WHERE amount > 0)")} AS share,
+       {_RISK} AS risk
+FROM p WHERE amount > 0 GROUP BY channel""")
+def q_payment_mix(spark, sf):
+    h = headers(spark, sf).filter(F.col("invoice_datetime") >= F.lit(SI.REPORT_START)
+                                  .cast("timestamp_ntz"))
+    return R.payment_mix(h)

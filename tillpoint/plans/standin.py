@@ -106,3 +106,59 @@ def driver_sale_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
         payment_text(F.col("o_orderpriority"), F.col("o_totalprice"), F.col("o_custkey"))
         .alias("payment_type"),
         F.col("o_totalprice").alias("invoice_total"), F.col("o_custkey").alias("pos_customer_id"))
+
+
+def driver_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A raw sales-detail sheet (all text, as a workbook or CSV export holds
+    it) derived from the driver tables, one row per ``lineitem`` row.
+
+    The text carries the shapes real exports have, each tied to a data
+    attribute so it scales with the tables: ``S<id>`` ids with `` Edit`` on
+    first lines, ``MM/dd/yyyy-hh:mm a`` dates (a placeholder text on pending
+    low-priority orders), salespeople padded with spaces (blank when the
+    supplier balance is negative), walk-in customers named ``INDOOR``
+    (building segment), ``Discount`` lines (10 % discount), returns as
+    negative quantities (flag R), a non-numeric quantity (part size 2), a
+    blank item id (part size 1), ``N``/``₦`` money text.
+    """
+    li = table(spark, sf_dir, "lineitem")
+    o = table(spark, sf_dir, "orders")
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_size")
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_acctbal")
+    df = li.join(o, li.l_orderkey == o.o_orderkey) \
+        .join(p, li.l_partkey == p.p_partkey) \
+        .join(c, o.o_custkey == c.c_custkey) \
+        .join(s, li.l_suppkey == s.s_suppkey)
+    dec = lambda x: F.col(x).cast("decimal(18,2)").cast("string")
+    qty = F.col("l_quantity").cast("bigint").cast("string")
+    stamp = F.timestamp_add("HOUR", (F.col("l_orderkey") % 12) + 8, F.col("o_orderdate"))
+    return df.select(
+        F.concat(F.lit("S"), F.col("l_orderkey").cast("string"),
+                 F.when(F.col("l_linenumber") == 1, F.lit(" Edit")).otherwise(F.lit("")))
+        .alias("sale_id"),
+        F.when((F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "5-LOW"),
+               F.lit("pending")).otherwise(F.date_format(stamp, "MM/dd/yyyy-hh:mm a"))
+        .alias("invoice_datetime"),
+        F.when(F.col("s_acctbal") < 0, F.lit("  "))
+        .otherwise(F.concat(F.lit(" "), F.col("s_name"), F.lit("  "))).alias("salesperson"),
+        F.when(F.col("c_mktsegment") == "BUILDING", F.lit("INDOOR"))
+        .otherwise(F.col("c_name")).alias("customer_name"),
+        payment_text(F.col("o_orderpriority"), F.col("o_totalprice"), F.col("o_custkey"))
+        .alias("payment_type"),
+        F.col("o_orderstatus").alias("comment"),
+        F.col("o_custkey").cast("string").alias("pos_customer_id"),
+        F.when(F.col("p_size") == 1, F.lit("")).otherwise(F.col("l_partkey").cast("string"))
+        .alias("pos_item_id"),
+        F.when(F.col("l_discount") >= 0.095, F.lit("Discount")).otherwise(F.col("p_name"))
+        .alias("item_name"),
+        F.col("p_type").alias("category"),
+        F.when(F.col("p_size") == 2, F.lit("abc"))
+        .when(F.col("l_returnflag") == "R", F.concat(F.lit("-"), qty)).otherwise(qty)
+        .alias("quantity"),
+        F.concat(F.lit("N"), dec("l_extendedprice")).alias("unit_price"),
+        F.col("l_extendedprice").alias("subtotal"),
+        dec("l_extendedprice").alias("line_total"),
+        F.concat(F.lit("₦"), dec("o_totalprice")).alias("invoice_total"),
+        F.struct("l_linenumber", "l_partkey", "l_suppkey").alias("_row_no"),
+    )
