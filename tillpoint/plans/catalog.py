@@ -596,3 +596,173 @@ def q_payment_mix(spark, sf):
     h = headers(spark, sf).filter(F.col("invoice_datetime") >= F.lit(SI.REPORT_START)
                                   .cast("timestamp_ntz"))
     return R.payment_mix(h)
+
+
+# =============================================================== comparisons
+from tillpoint.operators import compare as CP  # noqa: E402
+from tillpoint.operators import conversion as CV  # noqa: E402
+
+P1, P2 = SI.PERIOD_1, SI.PERIOD_2
+
+
+def _tag_sql(src: str) -> str:
+    return f"""t AS (SELECT *, CASE WHEN invoice_datetime >= TIMESTAMP '{P1[0]}'
+      AND invoice_datetime < TIMESTAMP '{P1[1]}' THEN 1 ELSE 2 END AS period FROM {src}
+    WHERE (invoice_datetime >= TIMESTAMP '{P1[0]}' AND invoice_datetime < TIMESTAMP '{P1[1]}')
+       OR (invoice_datetime >= TIMESTAMP '{P2[0]}' AND invoice_datetime < TIMESTAMP '{P2[1]}'))"""
+
+
+@register("period_metrics", with_(LINES, CLEAN.replace(
+        f"AND invoice_datetime >= TIMESTAMP '{SI.REPORT_START}'", ""), _tag_sql("clean")) + f"""
+, g AS (SELECT period, {money('subtotal')} AS rev, COUNT(DISTINCT sale_id) AS txn,
+          COUNT(DISTINCT CAST(invoice_datetime AS DATE)) AS days, {qty('quantity')} AS units
+        FROM t GROUP BY period)
+, s AS (SELECT period, 0 AS metric_ord, 'Revenue' AS metric, rev AS value FROM g
+  UNION ALL SELECT period, 1, 'Transactions', CAST(txn AS DOUBLE) FROM g
+  UNION ALL SELECT period, 2, 'Days', CAST(days AS DOUBLE) FROM g
+  UNION ALL SELECT period, 3, 'AvgDaily', {div('rev', 'days')} FROM g
+  UNION ALL SELECT period, 4, 'AvgBasket', {div('rev', 'txn')} FROM g
+  UNION ALL SELECT period, 5, 'Units', units FROM g)
+SELECT metric_ord, metric, p1, p2, p2 - p1 AS change, {div('p2 - p1', 'p1')} AS pct_change
+FROM (SELECT metric_ord, metric, COALESCE(MAX(CASE WHEN period = 1 THEN value END), 0.0) AS p1,
+             COALESCE(MAX(CASE WHEN period = 2 THEN value END), 0.0) AS p2
+      FROM s GROUP BY 1, 2) x""")
+def q_period_metrics(spark, sf):
+    lines = L.clean_lines(SI.driver_lines(spark, sf, ("item_name",)), None)
+    return CP.period_metrics(lines, P1, P2)
+
+
+_CLEAN_ALL = CLEAN.replace(f"AND invoice_datetime >= TIMESTAMP '{SI.REPORT_START}'", "")
+
+
+def clean_all(spark, sf, need=("item_name",)):
+    return L.clean_lines(SI.driver_lines(spark, sf, need), None)
+
+
+@register("period_categories", with_(LINES, _CLEAN_ALL, _tag_sql("clean")) + f"""
+, cur AS (SELECT category, {money('subtotal')} AS p2 FROM t WHERE period = 2 AND category IS NOT NULL GROUP BY 1)
+, prev AS (SELECT category, {money('subtotal')} AS p1 FROM t WHERE period = 1 AND category IS NOT NULL GROUP BY 1)
+SELECT category, COALESCE(prev.p1, 0.0) AS p1, p2, p2 - COALESCE(prev.p1, 0.0) AS change,
+       {div('p2 - COALESCE(prev.p1, 0.0)', 'COALESCE(prev.p1, 0.0)')} AS pct_change
+FROM cur LEFT JOIN prev USING (category)""")
+def q_period_categories(spark, sf):
+    return CP.period_categories(clean_all(spark, sf), P1, P2)
+
+
+@register("new_products", with_(LINES, _CLEAN_ALL, _tag_sql("clean")) + f"""
+, prev AS (SELECT item_name, {money('subtotal')} AS revenue FROM t WHERE period = 1 AND item_name IS NOT NULL
+           GROUP BY 1 ORDER BY revenue DESC, item_name LIMIT 20)
+SELECT item_name, {money('subtotal')} AS revenue FROM t
+WHERE period = 2 AND item_name IS NOT NULL AND item_name NOT IN (SELECT item_name FROM prev)
+GROUP BY 1 ORDER BY revenue DESC, item_name LIMIT 10""")
+def q_new_products(spark, sf):
+    return CP.new_products(clean_all(spark, sf), P1, P2)
+
+
+LISTED_PRODUCTS = ["red plate", "small widget", "hot ring"]
+
+
+@register("new_products_list", WC + f"""
+SELECT item_name, category, revenue, units, transactions, {div('revenue', 'units')} AS avg_price,
+       {div('revenue', 'transactions')} AS rev_per_txn
+FROM (SELECT item_name, category, {money('subtotal')} AS revenue, {qty('quantity')} AS units,
+             COUNT(DISTINCT sale_id) AS transactions FROM clean
+      WHERE item_name IS NOT NULL AND category IS NOT NULL GROUP BY 1, 2) g
+WHERE item_name IN ({', '.join(f"'{n}'" for n in LISTED_PRODUCTS)})""")
+def q_new_products_list(spark, sf):
+    return CP.products_in(R.product_rollup(clean(spark, sf, ("category",))), LISTED_PRODUCTS)
+
+
+# =============================================================== conversion
+POST_EPOCH = "1995-01-01"
+POST_SPAN = 2600
+
+
+def posts(spark, sf):
+    """Posts: each part is a post of its product name, on a date derived
+    from the part key."""
+    p = table(spark, sf, "part")
+    return p.select(F.col("p_name").alias("product"),
+                    F.date_add(F.lit(POST_EPOCH).cast("date"),
+                               ((F.col("p_partkey") * 37) % POST_SPAN).cast("int")).alias("posted_date"))
+
+
+def sale_dates(spark, sf):
+    return SI.driver_lines(spark, sf, ("item_name",)).select(
+        F.col("item_name").alias("product"), F.to_date("invoice_datetime").alias("sale_date"))
+
+
+def conv(spark, sf):
+    return CV.first_sale_after(posts(spark, sf), sale_dates(spark, sf))
+
+
+_CONV = f"""posts AS (SELECT p_name AS product,
+    CAST(DATE '{POST_EPOCH}' + CAST((p_partkey * 37) % {POST_SPAN} AS INTEGER) AS DATE) AS posted_date FROM part),
+sd AS (SELECT DISTINCT p.p_name AS product, CAST(o.o_orderdate AS DATE) AS sale_date
+    FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN part p ON l.l_partkey = p.p_partkey),
+conv AS (SELECT product, posted_date, first_sale_date,
+    CAST(date_diff('day', posted_date, first_sale_date) AS INTEGER) AS days_to_first_sale,
+    CASE WHEN first_sale_date IS NOT NULL THEN date_diff('day', posted_date, first_sale_date) <= 3 END
+      AS sold_within_3_days
+  FROM (SELECT p.*, (SELECT MIN(sd.sale_date) FROM sd WHERE sd.product = p.product
+          AND sd.sale_date >= p.posted_date) AS first_sale_date FROM posts p) x)"""
+
+
+@register("post_to_sale", with_(_CONV) + "SELECT * FROM conv")
+def q_post_to_sale(spark, sf):
+    return conv(spark, sf)
+
+
+@register("conversion_tracker", with_(_CONV) + """
+SELECT *, CASE WHEN COALESCE(sold_within_3_days, false) THEN 'YES'
+  WHEN first_sale_date IS NOT NULL THEN 'Delayed' ELSE 'No Sale' END AS status FROM conv""")
+def q_conversion_tracker(spark, sf):
+    return CV.tracker(conv(spark, sf))
+
+
+@register("conversion_hist", with_(_CONV) + """
+SELECT days_to_first_sale AS days, COUNT(*) AS count FROM conv
+WHERE days_to_first_sale IS NOT NULL GROUP BY 1""")
+def q_conversion_hist(spark, sf):
+    return CV.conversion_hist(conv(spark, sf))
+
+
+@register("non_converting", with_(_CONV) + """
+SELECT DISTINCT product, posted_date FROM conv WHERE first_sale_date IS NULL""")
+def q_non_converting(spark, sf):
+    return CV.non_converting(conv(spark, sf))
+
+
+@register("conversion_kpis", with_(_CONV) + f"""
+SELECT posts, converted, {div('converted', 'posts')} AS conversion_rate,
+       {div('_days', 'converted')} AS avg_days, {div('within_3', 'converted')} AS share_within_3,
+       (SELECT COUNT(*) FROM (SELECT DISTINCT product, posted_date FROM conv
+                              WHERE first_sale_date IS NULL) n) AS non_converted
+FROM (SELECT COUNT(*) AS posts, COUNT(first_sale_date) AS converted,
+             SUM(days_to_first_sale) AS _days,
+             COUNT(*) FILTER (WHERE sold_within_3_days) AS within_3 FROM conv) t""")
+def q_conversion_kpis(spark, sf):
+    return CV.conversion_kpis(conv(spark, sf))
+
+
+def _prices(spark, sf):
+    lines = SI.driver_lines(spark, sf, ("item_name",))
+    return lines.groupBy(F.col("item_name").alias("product")).agg(
+        S.safe_div(S.money_sum("unit_price"), F.count("unit_price")).alias("avg_price"))
+
+
+@register("decision_flags", with_(_CONV) + f"""
+, pr AS (SELECT p.p_name AS product, {div(money('l.l_extendedprice'), 'COUNT(l.l_extendedprice)')} AS avg_price
+         FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN part p ON l.l_partkey = p.p_partkey
+         GROUP BY 1)
+, as_of_d AS (SELECT MAX(CAST(o_orderdate AS DATE)) AS d FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey)
+, x AS (SELECT c.product, c.posted_date, c.days_to_first_sale, pr.avg_price,
+          COALESCE(c.days_to_first_sale, CAST(date_diff('day', c.posted_date, (SELECT d FROM as_of_d)) AS INTEGER)) AS days_unsold
+        FROM (SELECT DISTINCT product, posted_date, days_to_first_sale FROM conv) c LEFT JOIN pr USING (product))
+SELECT *, COALESCE(days_unsold >= 8 AND avg_price > 50000, false) AS slow_mover,
+       COALESCE(days_unsold >= 5, false) AS repost,
+       COALESCE(days_unsold >= 4 AND avg_price > 30000 AND avg_price <= 50000, false) AS discount
+FROM x""")
+def q_decision_flags(spark, sf):
+    as_of = sale_dates(spark, sf).select(F.max("sale_date")).scalar()
+    return CV.decision_flags(conv(spark, sf), _prices(spark, sf), as_of)
