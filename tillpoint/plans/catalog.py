@@ -766,3 +766,96 @@ FROM x""")
 def q_decision_flags(spark, sf):
     as_of = sale_dates(spark, sf).select(F.max("sale_date")).scalar()
     return CV.decision_flags(conv(spark, sf), _prices(spark, sf), as_of)
+
+
+# =============================================================== quality / monitoring
+from tillpoint.operators import quality as QY  # noqa: E402
+
+
+def pages(spark, sf):
+    return table(spark, sf, "pages")
+
+
+@register("page_quality", """
+SELECT page_id, CAST(length(html) AS INTEGER) AS n_chars, length(html) < 100 AS is_short,
+       NOT regexp_matches(html, '^\\s*<!DOCTYPE') AND NOT contains(lower(html), '<html') AS not_html,
+       NOT contains(html, '<tr') OR contains(lower(html), 'no records') AS is_empty,
+       md5(html) AS fingerprint FROM pages""")
+def q_page_quality(spark, sf):
+    return QY.page_quality(pages(spark, sf))
+
+
+_LI_SQL = r"<li[^>]*>\s*(?:<a[^>]*>)?([^<]*)"
+
+
+@register("schema_drift", f"""
+WITH fp AS (SELECT page_id, CASE WHEN len(regexp_extract_all(html, '{_LI_SQL}', 1)) > 0 THEN
+    array_to_string(list_transform(regexp_extract_all(html, '{_LI_SQL}', 1), lambda x: trim(lower(x))), '|')
+    END AS fingerprint FROM pages),
+b AS (SELECT arg_min(fingerprint, page_id) AS baseline FROM fp WHERE fingerprint IS NOT NULL)
+SELECT page_id, fingerprint, b.baseline, fingerprint <> b.baseline AS drift
+FROM fp, b WHERE fingerprint IS NOT NULL""")
+def q_schema_drift(spark, sf):
+    return QY.schema_drift(pages(spark, sf))
+
+
+def component_events(spark, sf):
+    """Events as component reports: component = user, failure = error event."""
+    return table(spark, sf, "events").select(
+        F.col("user_id").alias("component"), "ts",
+        (F.col("event_type") == "error").alias("is_error"))
+
+
+@register("error_rate", f"""
+SELECT user_id AS component, COUNT(*) AS processed, COUNT(*) FILTER (WHERE event_type = 'error') AS errors,
+       {div("COUNT(*) FILTER (WHERE event_type = 'error')", 'COUNT(*)')} AS error_rate,
+       {div("COUNT(*) FILTER (WHERE event_type = 'error')", 'COUNT(*)')} > 0.1 AS alert
+FROM events GROUP BY user_id""")
+def q_error_rate(spark, sf):
+    return QY.error_rate(component_events(spark, sf))
+
+
+@register("rolling_failure", f"""
+WITH w AS (SELECT user_id AS component, ts, event_type = 'error' AS is_error,
+    COUNT(*) OVER (PARTITION BY user_id ORDER BY epoch_us(ts) RANGE BETWEEN 9999999 PRECEDING AND CURRENT ROW) AS calls,
+    COUNT(*) FILTER (WHERE event_type = 'error') OVER (PARTITION BY user_id ORDER BY epoch_us(ts)
+      RANGE BETWEEN 9999999 PRECEDING AND CURRENT ROW) AS failures FROM events)
+SELECT component, ts, calls, failures, {div('failures', 'calls')} AS failure_rate,
+       failures >= 5 OR (calls >= 10 AND {div('failures', 'calls')} >= 0.5) AS trip
+FROM w WHERE is_error""")
+def q_rolling_failure(spark, sf):
+    return QY.rolling_failure(component_events(spark, sf))
+
+
+@register("stale_nodes", """
+SELECT user_id AS node_id, MAX(ts) AS last_seen,
+       CAST(epoch_us((SELECT MAX(ts) FROM events)) - epoch_us(MAX(ts)) AS DOUBLE) / 1000000 AS silent_seconds,
+       CAST(epoch_us((SELECT MAX(ts) FROM events)) - epoch_us(MAX(ts)) AS DOUBLE) / 1000000 > 60 AS stale
+FROM events GROUP BY user_id""")
+def q_stale_nodes(spark, sf):
+    hb = table(spark, sf, "events").select(F.col("user_id").alias("node_id"), "ts")
+    return QY.stale_nodes(hb)
+
+
+@register("windowed_errors", f"""
+SELECT time_bucket(INTERVAL 1 minute, ts) AS window_start, COUNT(*) AS calls,
+       COUNT(*) FILTER (WHERE event_type = 'error') AS failures,
+       {div("COUNT(*) FILTER (WHERE event_type = 'error')", 'COUNT(*)')} AS failure_rate
+FROM events GROUP BY 1""")
+def q_windowed_errors(spark, sf):
+    return QY.windowed_errors(component_events(spark, sf))
+
+
+@register("kpi_display", WC + """
+SELECT format('{:,}', CAST(TRUNC(revenue) AS BIGINT)) AS revenue_text,
+       format('{:,}', transactions) AS transactions_text,
+       format('{:,}', CAST(TRUNC(revenue / transactions) AS BIGINT)) AS basket_text
+FROM (SELECT CAST(SUM(CAST(subtotal AS DECIMAL(18,2))) AS DOUBLE) AS revenue,
+             COUNT(DISTINCT sale_id) AS transactions FROM clean) t""")
+def q_kpi_display(spark, sf):
+    k = R.kpi_totals(clean(spark, sf, ()))
+    return k.select(
+        F.format_number(F.col("revenue").cast("bigint"), 0).alias("revenue_text"),
+        F.format_number(F.col("transactions"), 0).alias("transactions_text"),
+        F.format_number((F.col("revenue") / F.col("transactions")).cast("bigint"), 0)
+        .alias("basket_text"))
