@@ -859,3 +859,146 @@ def q_kpi_display(spark, sf):
         F.format_number(F.col("transactions"), 0).alias("transactions_text"),
         F.format_number((F.col("revenue") / F.col("transactions")).cast("bigint"), 0)
         .alias("basket_text"))
+
+
+# =============================================================== sinks
+from tillpoint.sinks import tables as TB  # noqa: E402
+
+UPSERT_TARGET_END = "1997-01-01"
+UPSERT_INCOMING_START = "1996-07-01"
+
+
+def db_rows(spark, sf):
+    return SA.db_row(resolved(spark, sf)).withColumn(
+        "_ts", F.col("invoice_datetime").cast("timestamp_ntz"))
+
+
+def upsert_inputs(spark, sf):
+    d = db_rows(spark, sf)
+    target = d.filter(F.col("_ts") < F.lit(UPSERT_TARGET_END).cast("timestamp_ntz")).drop("_ts")
+    incoming = d.filter(F.col("_ts") >= F.lit(UPSERT_INCOMING_START).cast("timestamp_ntz")) \
+        .drop("_ts").withColumn("comment", F.concat(F.coalesce("comment", F.lit("")), F.lit(" (edited)")))
+    return target, incoming
+
+
+_DB = with_(SHEET, PLINES, SALE_AGG, _VALIDATED, _REF, _RESOLVED) + """
+, db AS (SELECT sale_id AS pos_sale_id, invoice_total, pos_customer_id_r AS pos_customer_id, customer_name,
+  salesperson, strftime(invoice_datetime, '%Y-%m-%dT%H:%M:%S') AS invoice_datetime,
+  comment, is_anonymous_customer, items_net, items_sold, items_returned, invoice_datetime AS _ts
+  FROM resolved WHERE accepted)
+, target AS (SELECT * EXCLUDE (_ts) FROM db WHERE _ts < TIMESTAMP '1997-01-01')
+, incoming AS (SELECT * EXCLUDE (_ts) REPLACE (COALESCE(comment, '') || ' (edited)' AS comment)
+  FROM db WHERE _ts >= TIMESTAMP '1996-07-01')
+"""
+
+
+@register("upsert_sales", _DB + """
+SELECT * FROM target WHERE pos_sale_id NOT IN (SELECT pos_sale_id FROM incoming)
+UNION ALL SELECT * FROM incoming""")
+def q_upsert_sales(spark, sf):
+    target, incoming = upsert_inputs(spark, sf)
+    return TB.upsert(target, incoming)
+
+
+def items_of(spark, sf):
+    return SA.typed_items(sheet_lines(spark, sf)).select(
+        F.col("sale_id").alias("pos_sale_id"), "pos_item_id", "name", "quantity",
+        F.col("unit_price").cast("double").alias("unit_price"),
+        F.col("total").cast("double").alias("total"))
+
+
+@register("replace_children", _DB + f"""
+, items AS (SELECT sale_id AS pos_sale_id, {parse_int('pos_item_id')} AS pos_item_id,
+    {clean_text('item_name')} AS name, {parse_int('quantity')} AS quantity,
+    CAST({parse_money('unit_price')} AS DOUBLE) AS unit_price,
+    CAST({parse_money('line_total')} AS DOUBLE) AS total FROM plines)
+SELECT * FROM items WHERE pos_sale_id IN (SELECT pos_sale_id FROM target)
+  AND pos_sale_id NOT IN (SELECT pos_sale_id FROM incoming)
+UNION ALL
+SELECT * FROM items WHERE pos_sale_id IN (SELECT pos_sale_id FROM incoming) AND quantity > 0""")
+def q_replace_children(spark, sf):
+    target, incoming = upsert_inputs(spark, sf)
+    items = items_of(spark, sf)
+    t_items = items.join(target.select("pos_sale_id"), "pos_sale_id", "left_semi")
+    in_items = items.join(incoming.select("pos_sale_id"), "pos_sale_id", "left_semi") \
+        .filter(F.col("quantity") > 0)
+    return TB.replace_children(t_items, incoming, in_items)
+
+
+ENVELOPE_FIELDS = ["pos_sale_id", "customer_name", "salesperson", "invoice_datetime",
+                   "invoice_total"]
+
+
+def envelopes(spark, sf, keep=()):
+    d = db_rows(spark, sf)
+    node = F.concat(F.lit("node-"), S.stable_shard("pos_sale_id", SHARDS).cast("string"))
+    e = d.select(F.col("pos_sale_id").cast("string").alias("pos_sale_id"), "customer_name",
+                 "salesperson", "invoice_datetime",
+                 F.col("invoice_total").cast("decimal(18,2)").cast("string").alias("invoice_total"),
+                 "items_net", node.alias("_node"))
+    return TB.envelope(e, F.col("_node"), ENVELOPE_FIELDS, keep)
+
+
+_ENV_SQL = _DB + f"""
+, env AS (SELECT pos_sale_id, items_net, 'node-' || CAST({stable_shard('pos_sale_id', SHARDS)} AS VARCHAR) AS node_id,
+  to_json(struct_pack(pos_sale_id := CAST(pos_sale_id AS VARCHAR), customer_name := customer_name,
+    salesperson := salesperson, invoice_datetime := invoice_datetime,
+    invoice_total := CAST(CAST(invoice_total AS DECIMAL(18,2)) AS VARCHAR),
+    _meta := struct_pack(node_id := 'node-' || CAST({stable_shard('pos_sale_id', SHARDS)} AS VARCHAR),
+      routing_key := 'sales.node-' || CAST({stable_shard('pos_sale_id', SHARDS)} AS VARCHAR)))) AS payload
+  FROM db)
+"""
+
+
+@register("publish_envelope", _ENV_SQL + """
+SELECT CAST(pos_sale_id AS VARCHAR) AS pos_sale_id, node_id, CAST(payload AS VARCHAR) AS payload FROM env""")
+def q_publish_envelope(spark, sf):
+    return envelopes(spark, sf)
+
+
+MESSAGE_SCHEMA = ("pos_sale_id string, customer_name string, salesperson string, "
+                  "invoice_datetime string, invoice_total string, "
+                  "_meta struct<node_id:string, routing_key:string>")
+
+
+def messages(spark, sf):
+    """Envelopes as they arrive from the queue: a sale whose returns
+    exceed its sales arrives cut short (undecodable)."""
+    out = envelopes(spark, sf, keep=("items_net",))
+    return out.select(F.col("pos_sale_id").alias("source_id"),
+                    F.when(F.col("items_net") < 0, F.substring("payload", 1, 20))
+                    .otherwise(F.col("payload")).alias("payload"))
+
+
+_MSG_SQL = _ENV_SQL + """
+, msg AS (SELECT CAST(pos_sale_id AS VARCHAR) AS source_id,
+   CASE WHEN items_net < 0 THEN substr(CAST(payload AS VARCHAR), 1, 20) ELSE CAST(payload AS VARCHAR) END AS payload FROM env)
+"""
+
+
+@register("message_decode", _MSG_SQL + """
+SELECT source_id, json_valid(payload) AS ok,
+  CASE WHEN json_valid(payload) THEN TRY_CAST(json_extract_string(payload, '$.pos_sale_id') AS BIGINT) END AS pos_sale_id,
+  CASE WHEN json_valid(payload) THEN json_extract_string(payload, '$._meta.node_id') END AS node_id
+FROM msg""")
+def q_message_decode(spark, sf):
+    d = TB.decode(messages(spark, sf), MESSAGE_SCHEMA)
+    return d.select("source_id", F.col("_ok").alias("ok"),
+                    F.when(F.col("_ok"), F.col("_msg.pos_sale_id").try_cast("bigint")).alias("pos_sale_id"),
+                    F.when(F.col("_ok"), F.col("_msg._meta.node_id")).alias("node_id"))
+
+
+@register("dead_letter", _MSG_SQL + f"""
+SELECT 'validation' AS source, reasons AS payload, sale_id AS pos_sale_id,
+       'node-' || CAST({stable_shard('sale_id', SHARDS)} AS VARCHAR) AS node_id
+FROM validated WHERE NOT accepted
+UNION ALL
+SELECT 'decode', payload, CAST(source_id AS BIGINT), NULL FROM msg WHERE NOT json_valid(payload)""")
+def q_dead_letter(spark, sf):
+    v = validated(spark, sf).filter(~F.col("accepted"))
+    a = TB.dead_letters(v, F.col("reasons"), "sale_id",
+                        F.concat(F.lit("node-"), S.stable_shard("sale_id", SHARDS).cast("string")))
+    d = TB.decode(messages(spark, sf), MESSAGE_SCHEMA).filter(~F.col("_ok"))
+    b = TB.dead_letters(d, F.col("payload"), "source_id")
+    return a.withColumn("source", F.lit("validation")).unionByName(
+        b.withColumn("source", F.lit("decode")))
