@@ -1002,3 +1002,41 @@ def q_dead_letter(spark, sf):
     b = TB.dead_letters(d, F.col("payload"), "source_id")
     return a.withColumn("source", F.lit("validation")).unionByName(
         b.withColumn("source", F.lit("decode")))
+
+
+# =============================================================== fuzzy resolution (rows-only)
+from tillpoint import constants as KC  # noqa: E402
+from tillpoint.operators import fuzzy_match as FZ  # noqa: E402
+
+
+@register("customer_resolve_fuzzy")
+def q_customer_resolve_fuzzy(spark, sf):
+    """Sale customers with no exact key -> best customer name >= 90 ->
+    id; still unmatched -> default id."""
+    r = resolved(spark, sf)
+    unmatched = r.filter("pos_customer_id_defaulted").select("customer_name").distinct()
+    cust = table(spark, sf, "customer")
+    ref = cust.select(S.name_key("c_name").alias("key"), "c_custkey") \
+        .filter(F.col("key") != "")
+    best = FZ.fuzzy_best(unmatched.select(S.name_key("customer_name").alias("key"),
+                                          "customer_name"), "key", ref, "key", "c_custkey")
+    keys = RV.reference_keys(cust, "c_name", "c_custkey")
+    return best.join(keys.withColumnRenamed("_key", "match"), "match", "left").select(
+        "key", "match", "score",
+        F.coalesce("_ref_id", F.lit(KC.DEFAULT_CUSTOMER_ID)).alias("pos_customer_id"))
+
+
+@register("payment_account")
+def q_payment_account(spark, sf):
+    """J2 + J5 + F16: payment channel -> best settlement account (fixed list
+    of four, >= 90) -> store-account reroute -> account id; payments with
+    no account are dropped."""
+    pays = SA.sale_payments(headers(spark, sf))
+    accounts = RV.account_table(spark)
+    chans = pays.select("channel").distinct()
+    best = FZ.fuzzy_best(chans, "channel", accounts, "bank_name", "_ord") \
+        .select("channel", F.col("match").alias("matched"))
+    res = RV.resolve_payment_accounts(pays.join(best, "channel", "left"), accounts)
+    ok, _dropped = RV.split_unresolved(res)
+    return ok.select("sale_id", "pos", "channel", "account", "account_id",
+                     S.parse_money("amount").cast("double").alias("amount"))
