@@ -1040,3 +1040,73 @@ def q_payment_account(spark, sf):
     ok, _dropped = RV.split_unresolved(res)
     return ok.select("sale_id", "pos", "channel", "account", "account_id",
                      S.parse_money("amount").cast("double").alias("amount"))
+
+
+# =============================================================== sources and streams (rows-only)
+import uuid  # noqa: E402
+
+from tillpoint.session import checkpoint_dir  # noqa: E402
+from tillpoint.sources import receipts as RC  # noqa: E402
+from tillpoint.sources import sheets as SH  # noqa: E402
+from tillpoint.streaming import ingest as IG  # noqa: E402
+
+# Header row of the sheet export, in the order the export writes it.
+SHEET_HEADERS = ["Sale Id", "Date", "Sold By", "Sold To", "Payment Type", "Comments", "Person Id",
+                 "Item Id", "Name", "Category", "Quantity Sold", "Selling Price", "Subtotal",
+                 "Total", "Total"]
+_SHEET_ORDER = ["sale_id", "invoice_datetime", "salesperson", "customer_name", "payment_type",
+                "comment", "pos_customer_id", "pos_item_id", "item_name", "category", "quantity",
+                "unit_price", "subtotal", "line_total", "invoice_total"]
+
+
+def _scratch(spark, what: str) -> str:
+    return f"{checkpoint_dir(spark).rstrip('/')}/{what}-{uuid.uuid4().hex}"
+
+
+@register("workbook_scan")
+def q_workbook_scan(spark, sf):
+    """Sheet exports read back through the header-mapping reader
+    (duplicate "Total" resolved by position), lines parsed."""
+    path = _scratch(spark, "sheet-export")
+    sh = SI.driver_sheet(spark, sf).select(
+        *[F.col(c).cast("string").alias(h) for c, h in zip(_SHEET_ORDER, SHEET_HEADERS)])
+    sh.write.option("header", True).option("ignoreLeadingWhiteSpace", False) \
+        .option("ignoreTrailingWhiteSpace", False).csv(path)
+    return SA.parsed_lines(SH.read_sheet_csv(spark, path)).select(
+        "sale_id", "sale_id_raw", "invoice_datetime", "salesperson", "item_name", "quantity",
+        "line_total", "invoice_total")
+
+
+@register("receipt_extract")
+def q_receipt_extract(spark, sf):
+    return RC.extract_receipts(table(spark, sf, "pages"))
+
+
+@register("stream_dedup")
+def q_stream_dedup(spark, sf):
+    """Events replayed by a stream (the events file read twice) keep
+    one row per event id within the 24 h life."""
+    schema = table(spark, sf, "events").schema
+    rd = lambda: spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet") \
+        .parquet(sf)
+    s = rd().unionByName(rd())
+    out, ck = _scratch(spark, "dedup-out"), _scratch(spark, "dedup-ck")
+    q = IG.dedup_stream(s, "event_id", "ts").writeStream.format("parquet") \
+        .option("checkpointLocation", ck).trigger(availableNow=True).start(out)
+    q.awaitTermination()
+    return spark.read.parquet(out)
+
+
+@register("stream_ingest")
+def q_stream_ingest(spark, sf):
+    """Sheet exports landing as files, ingested by an availableNow
+    stream in micro-batches of one file with idempotent upserts."""
+    landing, out, ck = _scratch(spark, "landing"), _scratch(spark, "tables"), _scratch(spark, "ck")
+    sheet = SI.driver_sheet(spark, sf)
+    sheet.select(*[F.col(c) if c in sheet.columns else F.lit(None).cast("string").alias(c)
+                   for c in SH.SHEET_FIELDS]).repartition(4, "sale_id") \
+        .write.option("header", True).option("ignoreLeadingWhiteSpace", False) \
+        .option("ignoreTrailingWhiteSpace", False).csv(landing)
+    q = IG.start_ingest(spark, landing, table(spark, sf, "customer"), out, ck)
+    q.awaitTermination()
+    return TB.read_version(spark, f"{out}/sales")
