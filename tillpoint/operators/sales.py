@@ -143,3 +143,28 @@ def db_row(sales: DataFrame) -> DataFrame:
         "pos_customer_id", "customer_name", "salesperson",
         S.iso_text("invoice_datetime").alias("invoice_datetime"), "comment",
         "is_anonymous_customer", "items_net", "items_sold", "items_returned")
+
+
+def sale_lookup(sales: DataFrame, sale_id: int) -> DataFrame:
+    """Point lookup of one sale by id."""
+    return sales.filter(F.col("sale_id") == F.lit(sale_id))
+
+
+ITEM_FIELDS = ["pos_item_id", "item_name", "quantity", "unit_price", "line_total"]
+
+
+def nest_items(lines: DataFrame, chunk=None, chunk_size: int = 200) -> DataFrame:
+    """N-1: the items of each sale nested in file order, as a message body.
+
+    A sale's items are split into chunks of at most ``chunk_size`` lines
+    (by default consecutive ``_row_no`` ranges), so no nested array — and no
+    task building one — grows with the size of an invoice; a consumer
+    reassembles a sale from its chunks by key.
+    """
+    if chunk is None:
+        chunk = F.floor(F.col("_row_no") / chunk_size)
+    entry = F.struct(F.col("_row_no").alias("_o"), *[F.col(c) for c in ITEM_FIELDS])
+    g = lines.groupBy("sale_id", chunk.cast("bigint").alias("chunk")).agg(
+        F.array_sort(F.collect_list(entry)).alias("_items"))
+    items = F.transform("_items", lambda x: F.struct(*[x[c].alias(c) for c in ITEM_FIELDS]))
+    return g.select("sale_id", "chunk", items.alias("items"))

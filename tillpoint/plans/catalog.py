@@ -304,6 +304,7 @@ from tillpoint.plans.sqlparts import (PAYMENT_TEXT as PAYMENT_TEXT_O, PLINES,  #
                                       SALE_AGG, SHEET, change_due,
                                       clean_text, is_anon, parse_dt_multi, parse_int,
                                       parse_money, parse_sale_id, payments, stable_shard)
+from tillpoint.session import materialize  # noqa: E402
 from tillpoint.sources.tables import table  # noqa: E402
 
 WS = with_(SHEET, PLINES, SALE_AGG)
@@ -397,8 +398,9 @@ _RESOLVED = """resolved AS (
     ON regexp_replace(lower(v.customer_name), '^\\s+|\\s+$', '', 'g') = r._key)"""
 
 
-def resolved(spark, sf):
-    return RV.resolve_customers(validated(spark, sf), table(spark, sf, "customer"))
+def resolved(spark, sf, v=None):
+    v = validated(spark, sf) if v is None else v
+    return RV.resolve_customers(v, table(spark, sf, "customer"))
 
 
 @register("customer_resolve_exact", with_(SHEET, PLINES, SALE_AGG, _VALIDATED, _REF, _RESOLVED) + """
@@ -445,7 +447,7 @@ _LEDGER = f"""ledger AS (SELECT DISTINCT sale_id FROM validated
 SELECT DISTINCT v.sale_id, sha256(CAST(v.sale_id AS VARCHAR)) AS fingerprint FROM validated v
 WHERE v.accepted AND v.sale_id NOT IN (SELECT sale_id FROM ledger)""")
 def q_dedup_ledger(spark, sf):
-    v = validated(spark, sf)
+    v = materialize(validated(spark, sf), "validated")
     return LG.ledger_rows(LG.new_sales(v, ledger_of(v)))
 
 
@@ -456,7 +458,7 @@ SELECT COUNT(*) AS loaded,
   COUNT(*) FILTER (WHERE NOT accepted) AS failed
 FROM validated""")
 def q_run_summary(spark, sf):
-    v = validated(spark, sf)
+    v = materialize(validated(spark, sf), "validated")
     return LG.run_summary(LG.tag_outcomes(v, ledger_of(v)))
 
 
@@ -868,13 +870,14 @@ UPSERT_TARGET_END = "1997-01-01"
 UPSERT_INCOMING_START = "1996-07-01"
 
 
-def db_rows(spark, sf):
-    return SA.db_row(resolved(spark, sf)).withColumn(
+def db_rows(spark, sf, v=None):
+    return SA.db_row(resolved(spark, sf, v)).withColumn(
         "_ts", F.col("invoice_datetime").cast("timestamp_ntz"))
 
 
 def upsert_inputs(spark, sf):
-    d = db_rows(spark, sf)
+    # both sides come from the same sales rows: build them once
+    d = materialize(db_rows(spark, sf), "db_rows")
     target = d.filter(F.col("_ts") < F.lit(UPSERT_TARGET_END).cast("timestamp_ntz")).drop("_ts")
     incoming = d.filter(F.col("_ts") >= F.lit(UPSERT_INCOMING_START).cast("timestamp_ntz")) \
         .drop("_ts").withColumn("comment", F.concat(F.coalesce("comment", F.lit("")), F.lit(" (edited)")))
@@ -897,7 +900,7 @@ SELECT * FROM target WHERE pos_sale_id NOT IN (SELECT pos_sale_id FROM incoming)
 UNION ALL SELECT * FROM incoming""")
 def q_upsert_sales(spark, sf):
     target, incoming = upsert_inputs(spark, sf)
-    return TB.upsert(target, incoming)
+    return TB.upsert(target, incoming, incoming_unique=True)   # one row per sale by construction
 
 
 def items_of(spark, sf):
@@ -918,7 +921,7 @@ UNION ALL
 SELECT * FROM items WHERE pos_sale_id IN (SELECT pos_sale_id FROM incoming) AND quantity > 0""")
 def q_replace_children(spark, sf):
     target, incoming = upsert_inputs(spark, sf)
-    items = items_of(spark, sf)
+    items = materialize(items_of(spark, sf), "items")   # used by both sides
     t_items = items.join(target.select("pos_sale_id"), "pos_sale_id", "left_semi")
     in_items = items.join(incoming.select("pos_sale_id"), "pos_sale_id", "left_semi") \
         .filter(F.col("quantity") > 0)
@@ -929,8 +932,8 @@ ENVELOPE_FIELDS = ["pos_sale_id", "customer_name", "salesperson", "invoice_datet
                    "invoice_total"]
 
 
-def envelopes(spark, sf, keep=()):
-    d = db_rows(spark, sf)
+def envelopes(spark, sf, keep=(), v=None):
+    d = db_rows(spark, sf, v)
     node = F.concat(F.lit("node-"), S.stable_shard("pos_sale_id", SHARDS).cast("string"))
     e = d.select(F.col("pos_sale_id").cast("string").alias("pos_sale_id"), "customer_name",
                  "salesperson", "invoice_datetime",
@@ -961,10 +964,10 @@ MESSAGE_SCHEMA = ("pos_sale_id string, customer_name string, salesperson string,
                   "_meta struct<node_id:string, routing_key:string>")
 
 
-def messages(spark, sf):
+def messages(spark, sf, v=None):
     """Envelopes as they arrive from the queue: a sale whose returns
     exceed its sales arrives cut short (undecodable)."""
-    out = envelopes(spark, sf, keep=("items_net",))
+    out = envelopes(spark, sf, keep=("items_net",), v=v)
     return out.select(F.col("pos_sale_id").alias("source_id"),
                     F.when(F.col("items_net") < 0, F.substring("payload", 1, 20))
                     .otherwise(F.col("payload")).alias("payload"))
@@ -995,10 +998,13 @@ FROM validated WHERE NOT accepted
 UNION ALL
 SELECT 'decode', payload, CAST(source_id AS BIGINT), NULL FROM msg WHERE NOT json_valid(payload)""")
 def q_dead_letter(spark, sf):
-    v = validated(spark, sf).filter(~F.col("accepted"))
+    # both halves (rejected sales, undecodable messages) start from the
+    # same validation: build it once
+    v_all = materialize(validated(spark, sf), "validated")
+    v = v_all.filter(~F.col("accepted"))
     a = TB.dead_letters(v, F.col("reasons"), "sale_id",
                         F.concat(F.lit("node-"), S.stable_shard("sale_id", SHARDS).cast("string")))
-    d = TB.decode(messages(spark, sf), MESSAGE_SCHEMA).filter(~F.col("_ok"))
+    d = TB.decode(messages(spark, sf, v_all), MESSAGE_SCHEMA).filter(~F.col("_ok"))
     b = TB.dead_letters(d, F.col("payload"), "source_id")
     return a.withColumn("source", F.lit("validation")).unionByName(
         b.withColumn("source", F.lit("decode")))
@@ -1110,3 +1116,85 @@ def q_stream_ingest(spark, sf):
     q = IG.start_ingest(spark, landing, table(spark, sf, "customer"), out, ck)
     q.awaitTermination()
     return TB.read_version(spark, f"{out}/sales")
+
+
+# =============================================================== more lookups, rounding, stream twins
+SALE_LOOKUP_ID = 1000
+
+
+@register("sale_lookup", WS + f"""
+SELECT sale_id, {clean_text('invoice_datetime')} AS invoice_datetime_raw,
+       {clean_text('salesperson')} AS salesperson, {clean_text('customer_name')} AS customer_name,
+       {is_anon(clean_text('customer_name'))} AS is_anonymous_customer,
+       NULLIF(trim(invoice_total), '') AS invoice_total_raw, {clean_text('comment')} AS comment, n_lines,
+       items_sold, items_returned, CAST(len({payments('payment_type')}) AS INTEGER) AS n_payments,
+       {change_due(payments('payment_type'))} AS change_due
+FROM sagg WHERE sale_id = {SALE_LOOKUP_ID}""")
+def q_sale_lookup(spark, sf):
+    """One sale by id from the built sales (the filter on the grouping
+    key is pushed below the aggregation by Catalyst)."""
+    return SA.sale_lookup(SA.build_sales(sheet_lines(spark, sf)), SALE_LOOKUP_ID)
+
+
+@register("product_display", with_(LINES) + f"""
+SELECT item_name, category, revenue, qty, transactions,
+       round_even({div('_ps', '_pn')}, 0) AS avg_price_r,
+       round_even({div('revenue', 'transactions')}, 0) AS rev_per_txn_r,
+       CAST(TRUNC(qty) AS BIGINT) AS qty_int
+FROM (SELECT item_name, category, {money('line_total')} AS revenue, {qty('quantity')} AS qty,
+             COUNT(DISTINCT sale_id) AS transactions, {money('unit_price')} AS _ps,
+             COUNT(unit_price) AS _pn
+      FROM lines WHERE category IS DISTINCT FROM 'Discount'
+        AND item_name IS NOT NULL AND category IS NOT NULL GROUP BY 1, 2) g
+ORDER BY revenue DESC, item_name, category LIMIT 20""")
+def q_product_display(spark, sf):
+    """report rounding — half-to-even ``round(x, 0)`` of prices and
+    ``int()`` truncation of counts, over the top-20 product table."""
+    t = R.top_products_mean(L.clean_lines_cat(SI.driver_lines(spark, sf, ("category",))))
+    return t.select("item_name", "category", "revenue", "qty", "transactions",
+                    F.bround("avg_price", 0).alias("avg_price_r"),
+                    F.bround("rev_per_txn", 0).alias("rev_per_txn_r"),
+                    F.col("qty").cast("bigint").alias("qty_int"))
+
+
+def _events_stream(spark, sf):
+    schema = table(spark, sf, "events").schema
+    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+
+
+def _drain(spark, df, mode="append"):
+    out, ck = _scratch(spark, "stream-out"), _scratch(spark, "stream-ck")
+    df.writeStream.format("parquet").outputMode(mode).option("checkpointLocation", ck) \
+        .trigger(availableNow=True).start(out).awaitTermination()
+    return spark.read.parquet(out)
+
+
+@register("stale_sessions")
+def q_stale_sessions(spark, sf):
+    """X4 (stream): heartbeat sessions per node with a 60 s gap; each
+    closed session is a silence longer than the heartbeat life."""
+    hb = _events_stream(spark, sf).select(F.col("user_id").alias("node_id"), "ts")
+    return _drain(spark, IG.silent_sessions(hb))
+
+
+@register("windowed_errors_stream")
+def q_windowed_errors_stream(spark, sf):
+    """X5 (stream): one-minute tumbling failure counts with a watermark."""
+    ev = _events_stream(spark, sf).select(
+        F.col("ts").cast("timestamp").alias("ts"), (F.col("event_type") == "error").alias("is_error"))
+    return _drain(spark, IG.windowed_failures(ev))
+
+
+@register("nest_items", with_(SHEET, PLINES) + """
+SELECT sale_id, CAST(floor(l_linenumber / 200) AS BIGINT) AS chunk,
+  CAST(count(*) AS INTEGER) AS n_items,
+  CAST(to_json(list(struct_pack(pos_item_id := pos_item_id, item_name := item_name,
+    quantity := quantity, unit_price := unit_price, line_total := line_total)
+    ORDER BY l_linenumber, l_partkey, l_suppkey, pos_item_id, item_name, quantity, unit_price,
+             line_total)) AS VARCHAR) AS items_json
+FROM plines GROUP BY 1, 2""")
+def q_nest_items(spark, sf):
+    lines = sheet_lines(spark, sf)
+    n = SA.nest_items(lines, chunk=F.floor(F.col("_row_no.l_linenumber") / 200))
+    return n.select("sale_id", "chunk", F.size("items").alias("n_items"),
+                    F.to_json("items").alias("items_json"))

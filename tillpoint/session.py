@@ -66,3 +66,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     except Exception:  # connect sessions have no SparkContext
         pass
     return d
+
+
+def materialize(df, name: str):
+    """Write ``df`` once as parquet under the shared checkpoint folder and
+    read it back: cuts the lineage and lets several branches of a plan use
+    the result without recomputing it (a lost executor re-reads the files
+    instead of recomputing the whole chain)."""
+    import uuid
+
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
