@@ -6,9 +6,13 @@ Conventions, kept the same in every rollup:
   drops them too);
 * money is summed as ``decimal(18,2)`` so totals do not depend on row
   order, then exposed as double; an all-null group sums to 0;
-* a share of a total uses a scalar subquery (``DataFrame.scalar()``) — the
-  total is computed once and inlined as a value; no cross join and no
-  window without partition keys, which would move every row to one task;
+* a share of a total is computed from the grouped result, not from the
+  lines: the grouping (null key kept until the end, so the total is still
+  the total of all lines) is written once as a small table under the
+  checkpoint folder, and the total is a scalar subquery over it
+  (``DataFrame.scalar()``).  The fact table is scanned once; there is no
+  cross join and no window without partition keys (which would move every
+  row to one task);
 * every aggregation is partial + final (map-side combine), so a group
   holding a third of the rows is pre-aggregated on every mapper before the
   shuffle.  Distinct counts shuffle on (key, sale_id), which spreads a hot
@@ -23,6 +27,7 @@ from pyspark.sql import functions as F
 from tillpoint import constants as K
 from tillpoint.functions import scalars as S
 from tillpoint.operators.lines import with_time_parts
+from tillpoint.session import materialize
 
 
 def _m1(revenue="subtotal", qty="quantity", sale="sale_id"):
@@ -35,6 +40,17 @@ def _total(df: DataFrame, revenue: str):
     return df.select(S.money_sum(revenue)).scalar()
 
 
+def _grouped(lines: DataFrame, keys: list, aggs: list, name: str):
+    """Group once (null keys kept), materialize, return (groups with non-null
+    keys, exact total of ``_rev`` over all groups as a scalar subquery)."""
+    g = materialize(lines.groupBy(*keys).agg(*aggs), name)
+    total = g.select(F.coalesce(F.sum("_rev"), F.lit(0)).cast("double")).scalar()
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & F.col(k).isNotNull()
+    return g.filter(cond).withColumn("revenue", F.col("_rev").cast("double")), total
+
+
 # A1 + A2 ----------------------------------------------------------------------
 def kpi_totals(lines: DataFrame, revenue="subtotal", qty="quantity", sale="sale_id",
                ts="invoice_datetime", price="unit_price") -> DataFrame:
@@ -54,8 +70,10 @@ def kpi_totals(lines: DataFrame, revenue="subtotal", qty="quantity", sale="sale_
 
 # A3 + J7 ----------------------------------------------------------------------
 def category_rollup(lines: DataFrame, key="category", revenue="subtotal") -> DataFrame:
-    total = _total(lines, revenue)
-    g = lines.filter(F.col(key).isNotNull()).groupBy(key).agg(*_m1(revenue))
+    g, total = _grouped(lines, [key], [S.money_dec(revenue).alias("_rev"),
+                                       S.qty_sum("quantity").alias("units"),
+                                       F.countDistinct("sale_id").alias("transactions")],
+                        "category_rollup")
     return g.select(key, "revenue", "units", "transactions",
                     S.safe_div("revenue", "units").alias("avg_price"),
                     S.safe_div("revenue", F.lit(total)).alias("share"))
@@ -82,10 +100,11 @@ def weekday_rollup(lines: DataFrame, revenue="subtotal", fill_zero: bool = True)
     """All seven weekdays in calendar order; absent days are 0 (or null with
     ``fill_zero=False``); ``share`` is the day's part of the week total."""
     spark = lines.sparkSession
-    t = with_time_parts(lines).filter(F.col("day_of_week").isNotNull())
-    g = t.groupBy("day_of_week").agg(*_m1(revenue))
-    week_total = _total(t, revenue)
-    out = weekday_calendar(spark).join(g, "day_of_week", "left")
+    t = with_time_parts(lines)
+    g, week_total = _grouped(t.filter(F.col("day_of_week").isNotNull()), ["day_of_week"],
+                             [S.money_dec(revenue).alias("_rev"), S.qty_sum("quantity").alias("units"),
+                              F.countDistinct("sale_id").alias("transactions")], "weekday_rollup")
+    out = weekday_calendar(spark).join(g.drop("_rev"), "day_of_week", "left")
     if fill_zero:
         out = out.fillna(0, subset=["revenue", "units", "transactions"])
     return out.select("day_ord", "day_of_week", "revenue", "units", "transactions",
@@ -105,9 +124,16 @@ def daily_rollup(lines: DataFrame, revenue="subtotal") -> DataFrame:
 # W4 + F31 ---------------------------------------------------------------------
 def daily_vs_avg(lines: DataFrame, revenue="subtotal") -> DataFrame:
     """Each day's revenue against the period average (total / trading days)."""
-    d = daily_rollup(lines, revenue)
-    avg = lines.select(S.safe_div(S.money_sum(revenue),
-                                  F.countDistinct(F.to_date("invoice_datetime")))).scalar()
+    t = lines.withColumn("sale_date", F.to_date("invoice_datetime"))
+    g = materialize(t.groupBy("sale_date").agg(
+        S.money_dec(revenue).alias("_rev"), F.countDistinct("sale_id").alias("transactions")),
+        "daily_vs_avg")
+    # period average = total of all lines / trading days
+    avg = g.select(S.safe_div(F.sum("_rev").cast("double"),
+                              F.count("sale_date"))).scalar()
+    d = g.filter(F.col("sale_date").isNotNull()).select(
+        "sale_date", S.day_name("sale_date").alias("day_of_week"),
+        F.col("_rev").cast("double").alias("revenue"), "transactions")
     ratio = S.safe_div(F.col("revenue") - F.lit(avg), F.lit(avg))
     return d.select("sale_date", "day_of_week", "revenue", "transactions",
                     F.lit(avg).alias("period_avg"), ratio.alias("vs_avg"),
@@ -140,9 +166,9 @@ def hour_buckets(lines: DataFrame, revenue="subtotal") -> DataFrame:
     t = lines.select(S.hour_bucket(h).alias("time_bucket"),
                      S.hour_bucket_order(h).alias("bucket_ord"), "sale_id", revenue) \
         .filter(F.col("time_bucket").isNotNull())
-    g = t.groupBy("bucket_ord", "time_bucket").agg(
-        F.countDistinct("sale_id").alias("transactions"), S.money_sum(revenue).alias("revenue"))
-    tb_total = _total(t, revenue)
+    g, tb_total = _grouped(t, ["bucket_ord", "time_bucket"], [
+        F.countDistinct("sale_id").alias("transactions"), S.money_dec(revenue).alias("_rev")],
+        "hour_buckets")
     return g.select("bucket_ord", "time_bucket", "transactions", "revenue",
                     S.safe_div("revenue", F.lit(tb_total)).alias("share"))
 
@@ -164,10 +190,9 @@ def price_bands(lines: DataFrame, revenue="subtotal", price="unit_price") -> Dat
     t = lines.select(S.price_band(price).alias("price_bucket"),
                      S.price_band_order(price).alias("band_ord"), "item_name", "quantity",
                      revenue).filter(F.col("price_bucket").isNotNull())
-    g = t.groupBy("band_ord", "price_bucket").agg(
+    g, banded = _grouped(t, ["band_ord", "price_bucket"], [
         F.count("item_name").alias("line_items"), S.qty_sum("quantity").alias("units"),
-        S.money_sum(revenue).alias("revenue"))
-    banded = _total(t, revenue)
+        S.money_dec(revenue).alias("_rev")], "price_bands")
     return g.select("band_ord", "price_bucket", "line_items", "units", "revenue",
                     S.safe_div("revenue", F.lit(banded)).alias("pct_revenue"))
 
@@ -179,10 +204,11 @@ def price_bands_capped(lines: DataFrame, revenue="line_total", price="unit_price
                      S.price_band_order(price, capped=True).alias("band_ord"),
                      "pos_item_id", "quantity", revenue) \
         .filter(F.col("price_bucket").isNotNull())
-    g = t.groupBy("band_ord", "price_bucket").agg(
+    g = materialize(t.groupBy("band_ord", "price_bucket").agg(
         F.count("pos_item_id").alias("count"), S.qty_sum("quantity").alias("qty"),
-        S.money_sum(revenue).alias("revenue"))
-    trunc_total = t.select(S.money_dec(revenue).cast("bigint")).scalar()
+        S.money_dec(revenue).alias("_rev")), "price_bands_capped") \
+        .withColumn("revenue", F.col("_rev").cast("double"))
+    trunc_total = g.select(F.coalesce(F.sum("_rev"), F.lit(0)).cast("bigint")).scalar()
     return g.select("band_ord", "price_bucket", "count", "qty", "revenue",
                     (S.safe_div("revenue", F.lit(trunc_total)) * 100).alias("pct"))
 
@@ -194,8 +220,9 @@ def customer_rollup(lines: DataFrame, revenue="subtotal", key="customer_name") -
 
 def top_customers(lines: DataFrame, k: int = 15, revenue="subtotal") -> DataFrame:
     """Top-k customers by revenue: basket and share of the grand total."""
-    total = _total(lines, revenue)
-    g = customer_rollup(lines, revenue)
+    g, total = _grouped(lines, ["customer_name"], [
+        S.money_dec(revenue).alias("_rev"), F.countDistinct("sale_id").alias("transactions"),
+        S.qty_sum("quantity").alias("units")], "top_customers")
     top = g.orderBy(F.desc("revenue"), F.asc("customer_name")).limit(k)
     return with_rank(top.select(
         F.trim("customer_name").alias("customer_name"), "revenue", "transactions", "units",
@@ -208,7 +235,8 @@ def top_customers_share(lines: DataFrame, k: int = 10, revenue="line_total") ->
     g = lines.filter(F.col("customer_name").isNotNull()).groupBy("customer_name").agg(
         S.money_dec(revenue).alias("_rev"), F.countDistinct("sale_id").alias("transactions")) \
         .withColumn("revenue", F.col("_rev").cast("double"))
-    top = g.orderBy(F.desc("_rev"), F.asc("customer_name")).limit(k)
+    # the top-k rows (k of them) are written once, then both listed and summed
+    top = materialize(g.orderBy(F.desc("_rev"), F.asc("customer_name")).limit(k), "top_k")
     top_total = top.select(F.sum("_rev").cast("bigint")).scalar()
     return top.select("customer_name", "revenue", "transactions",
                       S.safe_div("revenue", "transactions").alias("spend_per_visit"),
@@ -217,9 +245,8 @@ def top_customers_share(lines: DataFrame, k: int = 10, revenue="line_total") ->
 
 def top3_share(lines: DataFrame, revenue="subtotal") -> DataFrame:
     """Customer concentration: revenue of the top three customers / total."""
-    total = _total(lines, revenue)
-    g = lines.filter(F.col("customer_name").isNotNull()).groupBy("customer_name").agg(
-        S.money_dec(revenue).alias("_rev"))
+    g, total = _grouped(lines, ["customer_name"], [S.money_dec(revenue).alias("_rev")],
+                        "top3_share")
     top3 = g.orderBy(F.desc("_rev"), "customer_name").limit(3)
     return top3.agg(F.coalesce(F.sum("_rev").cast("double"), F.lit(0.0)).alias("top3_revenue")).select(
         "top3_revenue", F.lit(total).alias("total_revenue"),
@@ -241,9 +268,8 @@ def payment_mix(sales: DataFrame, text="payment_type") -> DataFrame:
     p = sales.select("sale_id", F.explode(S.parse_payments(text)).alias("p")).select(
         "sale_id", F.col("p.channel").alias("channel"),
         S.parse_money(F.col("p.amount")).alias("amount")).filter(F.col("amount") > 0)
-    g = p.groupBy("channel").agg(F.countDistinct("sale_id").alias("transactions"),
-                                 S.money_sum("amount").alias("revenue"))
-    total = _total(p, "amount")
+    g, total = _grouped(p, ["channel"], [F.countDistinct("sale_id").alias("transactions"),
+                                         S.money_dec("amount").alias("_rev")], "payment_mix")
     return g.select("channel", "transactions", "revenue",
                     S.safe_div("revenue", F.lit(total)).alias("share"),
                     S.payment_risk("channel").alias("risk"))
@@ -251,9 +277,9 @@ def payment_mix(sales: DataFrame, text="payment_type") -> DataFrame:
 
 # A19 --------------------------------------------------------------------------
 def staff_rollup(lines: DataFrame, revenue="subtotal") -> DataFrame:
-    total = _total(lines, revenue)
-    g = lines.filter(F.col("salesperson").isNotNull()).groupBy("salesperson").agg(
-        S.money_sum(revenue).alias("revenue"), F.countDistinct("sale_id").alias("transactions"))
+    g, total = _grouped(lines, ["salesperson"], [
+        S.money_dec(revenue).alias("_rev"), F.countDistinct("sale_id").alias("transactions")],
+        "staff_rollup")
     return g.select("salesperson", "revenue", "transactions",
                     S.safe_div("revenue", F.lit(total)).alias("share"))
 
