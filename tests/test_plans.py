@@ -27,8 +27,9 @@ def test_no_cross_products_or_global_windows(spark, key):
             assert "TakeOrderedAndProject" in p or "GlobalLimit" in p, key
 
 
-def test_report_date_filter_reaches_orders_scan(spark):
-    p = _plan(queries()["category_rollup"](spark, SF_SMALL))
+@pytest.mark.parametrize("key", ["clean_lines", "kpi_totals"])
+def test_report_date_filter_reaches_orders_scan(spark, key):
+    p = _plan(queries()[key](spark, SF_SMALL))
     scans = [ln for ln in p.split("\n") if "orders.parquet" in ln or "o_orderdate" in ln and "FileScan" in ln]
     assert any("PushedFilters" in ln and "o_orderdate" in ln and "GreaterThanOrEqual" in ln
                for ln in scans), scans

@@ -35,9 +35,12 @@ def _qty_dec(c):
 
 
 def sale_aggregate(lines: DataFrame, strict_item_id: bool = True) -> DataFrame:
-    """One row per sale id with raw header fields and item statistics."""
-    present = [f for f in HEADER_FIELDS if f in lines.columns]
-    hdr = F.min_by(F.struct(*present), F.col("_row_no")).alias("h")
+    """One row per sale id with raw header fields and item statistics.
+    Optional sheet columns that are absent are taken as empty (null)."""
+    for f in HEADER_FIELDS + ["item_name", "quantity", "unit_price", "line_total", "pos_item_id"]:
+        if f not in lines.columns:
+            lines = lines.withColumn(f, F.lit(None).cast("string"))
+    hdr = F.min_by(F.struct(*HEADER_FIELDS), F.col("_row_no")).alias("h")
     q = _qty_dec("quantity")
     real = ~S.is_discount("item_name")
     aggs = [

@@ -1105,17 +1105,18 @@ def q_stream_dedup(spark, sf):
 
 @register("stream_ingest")
 def q_stream_ingest(spark, sf):
-    """Sheet exports landing as files, ingested by an availableNow
-    stream in micro-batches of one file with idempotent upserts."""
+    """Sheet exports landing as four files, ingested by an
+    availableNow stream in micro-batches of two files with idempotent,
+    bucket-local upserts."""
     landing, out, ck = _scratch(spark, "landing"), _scratch(spark, "tables"), _scratch(spark, "ck")
     sheet = SI.driver_sheet(spark, sf)
     sheet.select(*[F.col(c) if c in sheet.columns else F.lit(None).cast("string").alias(c)
                    for c in SH.SHEET_FIELDS]).repartition(4, "sale_id") \
         .write.option("header", True).option("ignoreLeadingWhiteSpace", False) \
         .option("ignoreTrailingWhiteSpace", False).csv(landing)
-    q = IG.start_ingest(spark, landing, table(spark, sf, "customer"), out, ck)
+    q = IG.start_ingest(spark, landing, table(spark, sf, "customer"), out, ck, max_files=2)
     q.awaitTermination()
-    return TB.read_version(spark, f"{out}/sales")
+    return TB.read_bucketed(spark, f"{out}/sales")
 
 
 # =============================================================== more lookups, rounding, stream twins
@@ -1198,3 +1199,29 @@ def q_nest_items(spark, sf):
     n = SA.nest_items(lines, chunk=F.floor(F.col("_row_no.l_linenumber") / 200))
     return n.select("sale_id", "chunk", F.size("items").alias("n_items"),
                     F.to_json("items").alias("items_json"))
+
+
+# =============================================================== report sink
+from tillpoint.plans import report as RP  # noqa: E402
+
+# sheet -> the query whose SQL states the same result
+_REPORT_SQL = {"executive_kpis": "kpi_totals", "categories": "category_rollup",
+               "weekdays": "weekday_rollup", "daily": "daily_vs_avg",
+               "price_bands": "price_bands", "top_products": "top_products",
+               "best_day": "best_day", "top_customers": "top_customers", "staff": "staff_rollup"}
+_REPORT_NEED = {"top_customers": ("category", "customer"), "staff": ("category", "salesperson")}
+
+
+def _report_query(sheet: str):
+    def q(spark, sf):
+        lines = clean(spark, sf, _REPORT_NEED.get(sheet, ("category",)))
+        out = _scratch(spark, "report")
+        paths = RP.write_report(RP.report(lines, [sheet]), out)
+        return spark.read.parquet(paths[sheet])
+    q.__name__ = f"q_report_{sheet}"
+    q.__doc__ = f"S9: report sheet '{sheet}' written to its folder and read back."
+    return q
+
+
+for _sheet, _key in _REPORT_SQL.items():
+    register(f"report_{_sheet}", ORACLE[_key])(_report_query(_sheet))

@@ -1,34 +1,37 @@
-"""Report sink (S9): the named result tables of the sales report, lazily
-built from one cleaned line set and written one folder per sheet."""
+"""Report sink (S9): the named result tables of the sales report, built
+from one cleaned line set and written one parquet folder per sheet."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 
 from tillpoint.operators import rollups as R
 
+SHEETS: dict[str, Callable[[DataFrame], DataFrame]] = {
+    "executive_kpis": R.kpi_totals,
+    "categories": R.category_rollup,
+    "weekdays": R.weekday_rollup,
+    "daily": R.daily_vs_avg,
+    "price_bands": R.price_bands,
+    "top_products": R.top_products,
+    "best_day": R.best_day,
+    "top_customers": R.top_customers,
+    "staff": R.staff_rollup,
+}
+
+
+def report(lines: DataFrame, sheets=None) -> dict[str, DataFrame]:
+    """Sheet name -> DataFrame (all sheets, or the ``sheets`` named)."""
+    return {n: SHEETS[n](lines) for n in (sheets or SHEETS)}
+
 
-def report(lines: DataFrame) -> dict[str, DataFrame]:
-    """Sheet name -> DataFrame.  ``lines`` is reused by every sheet; cache it
-    (or write it) first when several sheets are materialised."""
-    return {
-        "executive_kpis": R.kpi_totals(lines),
-        "categories": R.category_rollup(lines),
-        "weekdays": R.weekday_rollup(lines),
-        "daily": R.daily_vs_avg(lines),
-        "time_of_day": R.hour_buckets(lines),
-        "price_bands": R.price_bands(lines),
-        "top_products": R.top_products(lines),
-        "best_day": R.best_day(lines),
-        "top_customers": R.top_customers(lines),
-        "staff": R.staff_rollup(lines),
-    }
-
-
-def write_report(sheets: dict[str, DataFrame], out: str) -> list[str]:
-    paths = []
+def write_report(sheets: dict[str, DataFrame], out: str) -> dict[str, str]:
+    """Write each sheet to ``out/<sheet>``; returns sheet -> path."""
+    paths = {}
     for name, df in sheets.items():
         p = f"{out.rstrip('/')}/{name}"
         df.write.mode("overwrite").parquet(p)
-        paths.append(p)
+        paths[name] = p
     return paths

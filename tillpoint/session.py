@@ -78,4 +78,22 @@ def materialize(df, name: str):
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)   # known schema: no footer scan
+
+
+def shuffle_partitions_for(input_bytes: int, target_bytes: int = 256 << 20,
+                           minimum: int = 200) -> int:
+    """Initial shuffle partition count for a job reading ``input_bytes``:
+    about one partition per ``target_bytes`` of input (so a partition's
+    shuffle data fits an executor core's memory share without spilling
+    much), never fewer than ``minimum``.  AQE then coalesces small
+    partitions and splits skewed ones at run time.  100 TB -> ~400k."""
+    return max(minimum, -(-int(input_bytes) // target_bytes))
+
+
+def configure_for_input(spark: SparkSession, input_bytes: int) -> None:
+    """Set the shuffle sizing for a run over ``input_bytes`` of input."""
+    n = shuffle_partitions_for(input_bytes)
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(n))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(128 << 20))
