@@ -15,8 +15,9 @@ from tillpoint import constants as K
 from tillpoint.functions import scalars as S
 
 # <li> texts stand in for table-head cells on pages without tables.
-LI_TEXT = r"<li[^>]*>\s*(?:<a[^>]*>)?([^<]*)"
-TH_TEXT = r"<th[^>]*>([^<]*)"
+# (tag name followed by whitespace or ">", so <link>, <thead>, <article> do not match)
+LI_TEXT = r"<li(?:\s[^>]*)?>\s*(?:<a(?:\s[^>]*)?>)?([^<]*)"
+TH_TEXT = r"<th(?:\s[^>]*)?>([^<]*)"
 
 
 def page_quality(pages: DataFrame, html="html") -> DataFrame:

@@ -787,7 +787,7 @@ def q_page_quality(spark, sf):
     return QY.page_quality(pages(spark, sf))
 
 
-_LI_SQL = r"<li[^>]*>\s*(?:<a[^>]*>)?([^<]*)"
+_LI_SQL = r"<li(?:\s[^>]*)?>\s*(?:<a(?:\s[^>]*)?>)?([^<]*)"
 
 
 @register("schema_drift", f"""
