@@ -22,7 +22,7 @@ __all__ = [
     "fingerprint_page", "header_fingerprint", "stable_shard", "price_band",
     "price_band_order", "hour_bucket", "hour_bucket_order", "hour_bucket_six",
     "hour_bucket_six_order", "conversion_status", "vs_avg_band", "money_sum",
-    "qty_sum", "money_dec", "as_col", "parse_sale_id", "safe_div", "payment_risk",
+    "qty_sum", "money_dec", "as_col", "utrim", "parse_sale_id", "safe_div", "payment_risk",
 ]
 
 NUMBER_RE = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
@@ -32,6 +32,12 @@ def as_col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def utrim(c) -> Column:
+    """Remove leading/trailing whitespace of any kind (Python ``strip()``);
+    Spark's ``trim`` removes spaces only."""
+    return F.regexp_replace(as_col(c).cast("string"), r"(?U)^\s+|\s+$", "")
+
+
 # F1 ---------------------------------------------------------------------------
 def clean_text(c) -> Column:
     """Collapse any Unicode whitespace run to one space, trim, empty -> null."""
@@ -52,7 +58,7 @@ def default_customer_name(c) -> Column:
 # P3 ---------------------------------------------------------------------------
 def parse_sale_id(c) -> Column:
     """First run of digits in the text ("S107 Edit" -> 107); null otherwise."""
-    digits = F.regexp_extract(F.trim(as_col(c).cast("string")), r"(?U)\d+", 0)
+    digits = F.regexp_extract(as_col(c).cast("string"), r"(?U)\d+", 0)
     return F.nullif(digits, F.lit("")).try_cast("bigint")
 
 
@@ -68,14 +74,14 @@ def parse_money(c, scale: int = 4) -> Column:
 def parse_int(c) -> Column:
     """``int(float(text))``: truncate toward zero.  Guarded by a strict number
     pattern because Spark would also accept suffixes such as ``1d``."""
-    t = F.trim(as_col(c).cast("string"))
+    t = utrim(c)
     return F.when(t.rlike(NUMBER_RE), t.try_cast("double").try_cast("bigint"))
 
 
 # F6 ---------------------------------------------------------------------------
 def coerce_number(c) -> Column:
     """Numeric coercion with bad/blank -> 0.0."""
-    t = F.trim(as_col(c).cast("string"))
+    t = utrim(c)
     return F.coalesce(F.when(t.rlike(NUMBER_RE), t.try_cast("double")), F.lit(0.0))
 
 
@@ -86,13 +92,13 @@ def _ts(c: Column, fmt: str) -> Column:
 
 def parse_sheet_datetime(c) -> Column:
     """Strict sheet format; anything else -> null."""
-    return _ts(F.trim(as_col(c).cast("string")), K.SHEET_DATE_FORMAT)
+    return _ts(utrim(c), K.SHEET_DATE_FORMAT)
 
 
 # F8 ---------------------------------------------------------------------------
 def parse_datetime_multi(c) -> Column:
     """First of the record formats that fits, then ISO-like fallbacks."""
-    t = F.trim(as_col(c).cast("string"))
+    t = utrim(c)
     return F.coalesce(*[_ts(t, f) for f in K.DATE_FORMATS + K.ISO_FALLBACK_FORMATS])
 
 

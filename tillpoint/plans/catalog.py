@@ -486,10 +486,10 @@ def q_int_parse(spark, sf):
 
 
 @register("date_parse", with_(SHEET) + """
-SELECT invoice_datetime AS raw, try_strptime(trim(invoice_datetime), '%m/%d/%Y-%I:%M %p') AS parsed,
-       CAST(try_strptime(trim(invoice_datetime), '%m/%d/%Y-%I:%M %p') AS DATE) AS sale_date,
-       CAST(hour(try_strptime(trim(invoice_datetime), '%m/%d/%Y-%I:%M %p')) AS INTEGER) AS hour,
-       dayname(try_strptime(trim(invoice_datetime), '%m/%d/%Y-%I:%M %p')) AS day_of_week
+SELECT invoice_datetime AS raw, try_strptime(regexp_replace(invoice_datetime, '^\\s+|\\s+$', '', 'g'), '%m/%d/%Y-%I:%M %p') AS parsed,
+       CAST(try_strptime(regexp_replace(invoice_datetime, '^\\s+|\\s+$', '', 'g'), '%m/%d/%Y-%I:%M %p') AS DATE) AS sale_date,
+       CAST(hour(try_strptime(regexp_replace(invoice_datetime, '^\\s+|\\s+$', '', 'g'), '%m/%d/%Y-%I:%M %p')) AS INTEGER) AS hour,
+       dayname(try_strptime(regexp_replace(invoice_datetime, '^\\s+|\\s+$', '', 'g'), '%m/%d/%Y-%I:%M %p')) AS day_of_week
 FROM sheet""")
 def q_date_parse(spark, sf):
     t = S.parse_sheet_datetime("invoice_datetime")

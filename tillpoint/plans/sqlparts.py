@@ -89,14 +89,20 @@ def clean_text(x: str) -> str:
     return f"NULLIF(trim(regexp_replace({x}, '\\s+', ' ', 'g')), '')"
 
 
+def utrim(x: str) -> str:
+    return f"regexp_replace({x}, '^\s+|\s+$', '', 'g')"
+
+
 def parse_int(x: str) -> str:
-    return (f"(CASE WHEN regexp_full_match(trim({x}), '{NUM_RE}') "
-            f"THEN CAST(TRUNC(TRY_CAST(trim({x}) AS DOUBLE)) AS BIGINT) END)")
+    t = utrim(x)
+    return (f"(CASE WHEN regexp_full_match({t}, '{NUM_RE}') "
+            f"THEN CAST(TRUNC(TRY_CAST({t} AS DOUBLE)) AS BIGINT) END)")
 
 
 def coerce(x: str) -> str:
-    return (f"COALESCE(CASE WHEN regexp_full_match(trim({x}), '{NUM_RE}') "
-            f"THEN TRY_CAST(trim({x}) AS DOUBLE) END, 0.0)")
+    t = utrim(x)
+    return (f"COALESCE(CASE WHEN regexp_full_match({t}, '{NUM_RE}') "
+            f"THEN TRY_CAST({t} AS DOUBLE) END, 0.0)")
 
 
 def parse_money(x: str) -> str:
@@ -104,7 +110,7 @@ def parse_money(x: str) -> str:
 
 
 def parse_sale_id(x: str) -> str:
-    return f"TRY_CAST(NULLIF(regexp_extract(trim({x}), '\\d+', 0), '') AS BIGINT)"
+    return f"TRY_CAST(NULLIF(regexp_extract({x}, '\\d+', 0), '') AS BIGINT)"
 
 
 DATE_FMTS = ["%m/%d/%Y-%I:%M %p", "%m/%d/%Y %I:%M %p", "%m/%d/%Y %H:%M", "%Y-%m-%dT%H:%M:%S",
@@ -112,7 +118,7 @@ DATE_FMTS = ["%m/%d/%Y-%I:%M %p", "%m/%d/%Y %I:%M %p", "%m/%d/%Y %H:%M", "%Y-%m-
 
 
 def parse_dt_multi(x: str) -> str:
-    return "COALESCE(" + ", ".join(f"try_strptime(trim({x}), '{f}')" for f in DATE_FMTS) + ")"
+    return "COALESCE(" + ", ".join(f"try_strptime({utrim(x)}, '{f}')" for f in DATE_FMTS) + ")"
 
 
 PAY_RE = r"(?i)([A-Za-z ]+):\s*([+-]?\s*[-]?\s*(?:N|₦)?[\d,]+(?:\.\d{1,2})?)"
