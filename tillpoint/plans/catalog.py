@@ -1069,7 +1069,9 @@ def _scratch(spark, what: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{what}-{uuid.uuid4().hex}"
 
 
-@register("workbook_scan")
+@register("workbook_scan", with_(SHEET, PLINES) + """
+SELECT sale_id, sale_id_raw, invoice_datetime, salesperson, item_name, quantity, line_total,
+       invoice_total FROM plines""")
 def q_workbook_scan(spark, sf):
     """Sheet exports read back through the header-mapping reader
     (duplicate "Total" resolved by position), lines parsed."""
@@ -1088,7 +1090,7 @@ def q_receipt_extract(spark, sf):
     return RC.extract_receipts(table(spark, sf, "pages"))
 
 
-@register("stream_dedup")
+@register("stream_dedup", "SELECT event_id, ts, user_id, event_type, value, props FROM events")
 def q_stream_dedup(spark, sf):
     """Events replayed by a stream (the events file read twice) keep
     one row per event id within the 24 h life."""
@@ -1100,18 +1102,23 @@ def q_stream_dedup(spark, sf):
     q = IG.dedup_stream(s, "event_id", "ts").writeStream.format("parquet") \
         .option("checkpointLocation", ck).trigger(availableNow=True).start(out)
     q.awaitTermination()
-    return spark.read.parquet(out)
+    r = spark.read.parquet(out)
+    return r.withColumn("ts", F.col("ts").cast("timestamp_ntz")).select(*schema.names)
 
 
-@register("stream_ingest")
+@register("stream_ingest", ORACLE["db_row"])
 def q_stream_ingest(spark, sf):
     """Sheet exports landing as four files, ingested by an
     availableNow stream in micro-batches of two files with idempotent,
-    bucket-local upserts."""
+    bucket-local upserts.  Each export holds whole invoices with their lines
+    in line order (as a point-of-sale export does), so the ingested tables
+    equal the batch ``db_row``."""
     landing, out, ck = _scratch(spark, "landing"), _scratch(spark, "tables"), _scratch(spark, "ck")
     sheet = SI.driver_sheet(spark, sf)
-    sheet.select(*[F.col(c) if c in sheet.columns else F.lit(None).cast("string").alias(c)
-                   for c in SH.SHEET_FIELDS]).repartition(4, "sale_id") \
+    sid = S.parse_sale_id("sale_id")   # whole invoices per file ("S1 Edit" and "S1" together)
+    sheet.repartition(4, sid).sortWithinPartitions(sid, "_row_no") \
+        .select(*[F.col(c) if c in sheet.columns else F.lit(None).cast("string").alias(c)
+                  for c in SH.SHEET_FIELDS]) \
         .write.option("header", True).option("ignoreLeadingWhiteSpace", False) \
         .option("ignoreTrailingWhiteSpace", False).csv(landing)
     q = IG.start_ingest(spark, landing, table(spark, sf, "customer"), out, ck, max_files=2)
@@ -1170,20 +1177,36 @@ def _drain(spark, df, mode="append"):
     return spark.read.parquet(out)
 
 
-@register("stale_sessions")
+@register("stale_sessions", """
+WITH e AS (SELECT user_id AS node_id, ts,
+    CASE WHEN lag(ts) OVER (PARTITION BY user_id ORDER BY ts) IS NULL
+           OR ts >= lag(ts) OVER (PARTITION BY user_id ORDER BY ts) + INTERVAL 60 SECOND
+         THEN 1 ELSE 0 END AS new_session FROM events),
+s AS (SELECT node_id, ts, SUM(new_session) OVER (PARTITION BY node_id ORDER BY ts
+        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sid FROM e),
+g AS (SELECT node_id, MIN(ts) AS first_beat, MAX(ts) + INTERVAL 60 SECOND AS silent_from,
+        COUNT(*) AS beats FROM s GROUP BY node_id, sid)
+SELECT * FROM g WHERE silent_from <= (SELECT MAX(ts) FROM events) - INTERVAL 60 SECOND""")
 def q_stale_sessions(spark, sf):
     """X4 (stream): heartbeat sessions per node with a 60 s gap; each
     closed session is a silence longer than the heartbeat life."""
     hb = _events_stream(spark, sf).select(F.col("user_id").alias("node_id"), "ts")
-    return _drain(spark, IG.silent_sessions(hb))
+    r = _drain(spark, IG.silent_sessions(hb))
+    return r.select("node_id", F.col("first_beat").cast("timestamp_ntz").alias("first_beat"),
+                    F.col("silent_from").cast("timestamp_ntz").alias("silent_from"), "beats")
 
 
-@register("windowed_errors_stream")
+@register("windowed_errors_stream", """
+SELECT time_bucket(INTERVAL 1 minute, ts) AS window_start, COUNT(*) AS calls,
+       COUNT(*) FILTER (WHERE event_type = 'error') AS failures FROM events
+GROUP BY 1 HAVING time_bucket(INTERVAL 1 minute, ts) + INTERVAL 1 minute
+                  <= (SELECT MAX(ts) FROM events) - INTERVAL 10 second""")
 def q_windowed_errors_stream(spark, sf):
     """X5 (stream): one-minute tumbling failure counts with a watermark."""
     ev = _events_stream(spark, sf).select(
         F.col("ts").cast("timestamp").alias("ts"), (F.col("event_type") == "error").alias("is_error"))
-    return _drain(spark, IG.windowed_failures(ev))
+    r = _drain(spark, IG.windowed_failures(ev))
+    return r.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
 @register("nest_items", with_(SHEET, PLINES) + """
