@@ -59,18 +59,17 @@ def non_converting(conv: DataFrame, product="product", posted="posted_date") ->
 
 def conversion_kpis(conv: DataFrame, product="product", posted="posted_date") -> DataFrame:
     """Posts, converted, rate, average days, share sold within 3 days
-    (of converted), distinct non-converting posts."""
-    nc = conv.filter(F.col("first_sale_date").isNull()).select(product, posted).distinct()
-    n_nc = nc.select(F.count(F.lit(1))).scalar()
+    (of converted), distinct non-converting posts — one aggregation."""
+    never = F.when(F.col("first_sale_date").isNull(), F.struct(product, posted))
     return conv.agg(
         F.count(F.lit(1)).alias("posts"),
         F.count("first_sale_date").alias("converted"),
         F.sum("days_to_first_sale").alias("_days"),
-        F.count_if(F.col("sold_within_3_days")).alias("within_3")).select(
+        F.count_if(F.col("sold_within_3_days")).alias("within_3"),
+        F.countDistinct(never).alias("non_converted")).select(
         "posts", "converted", S.safe_div("converted", "posts").alias("conversion_rate"),
         S.safe_div("_days", "converted").alias("avg_days"),
-        S.safe_div("within_3", "converted").alias("share_within_3"),
-        F.lit(n_nc).alias("non_converted"))
+        S.safe_div("within_3", "converted").alias("share_within_3"), "non_converted")
 
 
 def decision_flags(conv: DataFrame, prices: DataFrame, as_of, product="product",

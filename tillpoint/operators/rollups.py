@@ -128,16 +128,15 @@ def daily_vs_avg(lines: DataFrame, revenue="subtotal") -> DataFrame:
     g = materialize(t.groupBy("sale_date").agg(
         S.money_dec(revenue).alias("_rev"), F.countDistinct("sale_id").alias("transactions")),
         "daily_vs_avg")
-    # period average = total of all lines / trading days
+    # period average = total of all lines / trading days (one scalar subquery)
     avg = g.select(S.safe_div(F.sum("_rev").cast("double"),
                               F.count("sale_date"))).scalar()
     d = g.filter(F.col("sale_date").isNotNull()).select(
         "sale_date", S.day_name("sale_date").alias("day_of_week"),
-        F.col("_rev").cast("double").alias("revenue"), "transactions")
-    ratio = S.safe_div(F.col("revenue") - F.lit(avg), F.lit(avg))
-    return d.select("sale_date", "day_of_week", "revenue", "transactions",
-                    F.lit(avg).alias("period_avg"), ratio.alias("vs_avg"),
-                    S.vs_avg_band(ratio).alias("band"))
+        F.col("_rev").cast("double").alias("revenue"), "transactions",
+        avg.alias("period_avg"))
+    ratio = S.safe_div(F.col("revenue") - F.col("period_avg"), F.col("period_avg"))
+    return d.withColumn("vs_avg", ratio).withColumn("band", S.vs_avg_band(F.col("vs_avg")))
 
 
 # A7 / A8 ----------------------------------------------------------------------
