@@ -90,7 +90,7 @@ def clean_text(x: str) -> str:
 
 
 def utrim(x: str) -> str:
-    return f"regexp_replace({x}, '^\s+|\s+$', '', 'g')"
+    return f"regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
 
 
 def parse_int(x: str) -> str:
