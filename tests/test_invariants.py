@@ -95,3 +95,13 @@ def test_upsert_and_replace_are_idempotent(spark, tmpdir_path):
     assert TB.versions(spark, path) == [1, 2]
     assert sorted(tuple(r) for r in TB.read_version(spark, path).collect()) == \
         [(1, "a"), (2, "B"), (3, "c"), (4, "d")]
+
+
+def test_ledger_scope(spark):
+    from tillpoint.operators import ledger as LG
+    inc = spark.createDataFrame([(1, True), (2, True), (3, False)], "sale_id long, accepted boolean")
+    led = spark.createDataFrame([(1, "x")], "sale_id long, fingerprint string")
+    assert sorted(r.sale_id for r in LG.new_sales(inc, led).collect()) == [2]
+    assert sorted(r.sale_id for r in LG.new_sales(inc, led, scope="run").collect()) == [1, 2]
+    s = LG.run_summary(LG.tag_outcomes(inc, led)).first()
+    assert (s.loaded, s.inserted, s.duplicates, s.failed) == (3, 1, 1, 1)

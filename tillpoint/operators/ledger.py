@@ -19,15 +19,25 @@ def ledger_rows(sales: DataFrame) -> DataFrame:
     return sales.select(F.col("sale_id"), S.fingerprint_sale("sale_id").alias("fingerprint"))
 
 
-def new_sales(incoming: DataFrame, ledger: DataFrame) -> DataFrame:
+def _scoped(ledger: DataFrame, scope: str) -> DataFrame:
+    """``scope="persisted"`` uses the stored ledger; ``scope="run"`` starts
+    from an empty one, as a seen-set that lives only for one run does."""
+    if scope == "run":
+        return ledger.limit(0)
+    if scope != "persisted":
+        raise ValueError(f"unknown ledger scope: {scope}")
+    return ledger
+
+
+def new_sales(incoming: DataFrame, ledger: DataFrame, scope: str = "persisted") -> DataFrame:
     """Accepted incoming sales not yet in the ledger, one row per id."""
     acc = incoming.filter("accepted").dropDuplicates(["sale_id"])
-    return acc.join(ledger.select("sale_id"), "sale_id", "left_anti")
+    return acc.join(_scoped(ledger, scope).select("sale_id"), "sale_id", "left_anti")
 
 
-def tag_outcomes(incoming: DataFrame, ledger: DataFrame) -> DataFrame:
+def tag_outcomes(incoming: DataFrame, ledger: DataFrame, scope: str = "persisted") -> DataFrame:
     """Each incoming sale tagged inserted / duplicate / failed."""
-    seen = ledger.select("sale_id").distinct().withColumn("_seen", F.lit(True))
+    seen = _scoped(ledger, scope).select("sale_id").distinct().withColumn("_seen", F.lit(True))
     t = incoming.join(seen, "sale_id", "left")
     return t.withColumn("outcome", F.when(~F.col("accepted"), "failed")
                         .when(F.col("_seen"), "duplicate").otherwise("inserted")).drop("_seen")
