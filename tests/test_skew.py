@@ -38,3 +38,19 @@ def test_hot_invoice(spark):
         assert (g.items_sold, g.items_returned) == (sold, returned), sid
         assert g.salesperson == "BB"
         assert g.accepted == (not any(r[7] == "abc" for r in lines)), sid
+
+
+def test_nested_items_are_chunked(spark):
+    """N-1: a 450-line invoice is nested in chunks of at most 200 items, in
+    line order, and no item is lost."""
+    rows = [("S7", str(i), f"item{i:03d}", "1", "N10", "10", i) for i in range(450)]
+    rows += [("S8", "1", "x", "2", "N5", "10", 1000)]
+    df = spark.createDataFrame(rows, "sale_id string, pos_item_id string, item_name string, "
+                                     "quantity string, unit_price string, line_total string, "
+                                     "_row_no long").repartition(5)
+    n = SA.nest_items(SA.parsed_lines(df)).collect()
+    s7 = sorted((r for r in n if r.sale_id == 7), key=lambda r: r.chunk)
+    assert all(len(r["items"]) <= 200 for r in n)
+    names = [it.item_name for r in s7 for it in r["items"]]
+    assert names == [f"item{i:03d}" for i in range(450)]
+    assert [len(r["items"]) for r in n if r.sale_id == 8] == [1]
