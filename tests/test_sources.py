@@ -93,3 +93,25 @@ def test_receipt_extract(spark):
     assert [(p.channel, p.amount) for p in r.payments] == [("CASH", "N6,000"), ("MONIEPOINT", "0.0")]
     assert [(i.pos_item_id, i.quantity) for i in r.items] == [("5", "2")]
     assert out[2].items == [] and out[2].customer_name is None
+
+
+def test_workbook_shared_strings(spark, tmpdir_path):
+    ns = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
+    strings = ["Sale Id", "Name", "Total", "S9 Edit", "Lace"]
+    sst = "".join(f"<si><t>{s}</t></si>" for s in strings)
+    sheet = (f'<worksheet xmlns="{ns}"><sheetData>'
+             '<row r="1"><c r="A1" t="s"><v>0</v></c><c r="B1" t="s"><v>1</v></c>'
+             '<c r="C1" t="s"><v>2</v></c><c r="D1" t="s"><v>2</v></c></row>'
+             '<row r="2"><c r="A2" t="s"><v>3</v></c><c r="B2" t="s"><v>4</v></c>'
+             '<c r="C2"><v>100.5</v></c><c r="D2"><v>250</v></c></row>'
+             '<row r="3"></row></sheetData></worksheet>')
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w") as z:
+        z.writestr("xl/sharedStrings.xml", f'<sst xmlns="{ns}">{sst}</sst>')
+        z.writestr("xl/worksheets/sheet1.xml", sheet)
+    p = os.path.join(tmpdir_path, "shared.xlsx")
+    with open(p, "wb") as fh:
+        fh.write(buf.getvalue())
+    rows = SH.read_workbooks(spark, [p]).collect()
+    assert [(r.sale_id, r.item_name, r.line_total, r.invoice_total) for r in rows] == \
+        [("S9 Edit", "Lace", "100.5", "250")]       # blank row skipped
