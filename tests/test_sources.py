@@ -115,3 +115,13 @@ def test_workbook_shared_strings(spark, tmpdir_path):
     rows = SH.read_workbooks(spark, [p]).collect()
     assert [(r.sale_id, r.item_name, r.line_total, r.invoice_total) for r in rows] == \
         [("S9 Edit", "Lace", "100.5", "250")]       # blank row skipped
+
+
+def test_receipt_without_footer_and_short_page(spark):
+    no_footer = RECEIPT.split('<div class="invoice-footer-heading">')[0] + "</body></html>"
+    pages = spark.createDataFrame([(1, "u", no_footer), (2, "u", "<p>x</p>")],
+                                  "page_id long, url string, html string")
+    out = {r.page_id: r for r in RC.extract_receipts(pages).collect()}
+    assert out[1].invoice_total is None and out[1].payments == []
+    assert out[1].customer_name == "Online customers" and len(out[1].items) == 1
+    assert out[2].n_chars < 100 and out[2].items == [] and out[2].salesperson is None
