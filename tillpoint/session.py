@@ -10,7 +10,9 @@ the size check that decides it for tables whose size grows with the data.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -48,17 +50,19 @@ def get_session(master: str | None = None, app: str = "tillpoint",
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared folder used to cut lineage and to hold table versions.
+    """Shared folder used to cut lineage and to hold scratch tables.
 
-    Read from ``spark.checkpoint.dir`` (set by the cluster to a shared
-    file system).  Only when it is unset — local runs and tests — a fresh
-    scratch folder is created and registered.
+    Read from ``spark.checkpoint.dir``, which a cluster sets to a file system
+    that the driver and all executors share.  Where it is unset a local
+    master gets a fresh scratch folder; any other master is refused, because
+    each executor would write to a disk that the others cannot read.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        d = spark.sparkContext.getCheckpointDir() if hasattr(
-            spark.sparkContext, "getCheckpointDir") else None
-    if not d:
+        master = spark.conf.get("spark.master", "")
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share "
+                               f"(master {master!r} has no shared default)")
         d = tempfile.mkdtemp(prefix="tillpoint-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", d)
     try:
@@ -68,6 +72,28 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers (once per application), so that
+    functions pickled by reference can be imported there whatever the workers'
+    working directory is."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="tillpoint-zip-"), "tillpoint.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(root):
+            for n in names:
+                if n.endswith(".py"):
+                    full = os.path.join(folder, n)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(out)
+    _shipped.add(sc.applicationId)
+
+
 def materialize(df, name: str):
     """Write ``df`` once as parquet under the shared checkpoint folder and
     read it back: cuts the lineage and lets several branches of a plan use
