@@ -45,7 +45,7 @@ from tillpoint.llm.components import components
 from tillpoint.llm.hashing import mix, sequence_hash, shingle_hashes, word_chunks
 
 RETAINED = 96                # values in a sketch
-RARITY_BITS = 16             # the rarity table has 2^16 counts
+RARITY_BITS = 22             # the rarity table has 2^22 one-byte counts
 MISS = 1e-10                 # chance that a pair at the threshold shares no listed value
 
 
@@ -107,18 +107,23 @@ def _bucket(v: np.ndarray) -> np.ndarray:
 
 
 def _rarity(features: DataFrame) -> np.ndarray:
-    """Counts of the retained values of all documents, in 2^RARITY_BITS buckets."""
+    """Counts of the retained values that a batch of documents holds more
+    than once, summed over all batches into 2^RARITY_BITS buckets and kept as
+    logarithms (one byte each).  Values that meet nowhere in a batch count 0,
+    so what is moved is what repeats."""
     def run(it):
-        total = np.zeros(1 << RARITY_BITS, np.int64)
         for batch in it:
-            total += np.bincount(_bucket(_flat(batch)[0]), minlength=1 << RARITY_BITS)
-        i = np.flatnonzero(total)
-        yield from batches({"i": (i, pa.int32()), "c": (total[i], pa.int64())})
-
-    table = np.zeros(1 << RARITY_BITS, np.int64)
-    counts = features.select("sketch").mapInArrow(run, "i int, c long").groupBy("i").agg(F.sum("c").alias("c"))
-    for i, c in counts.toPandas().itertuples(index=False):     # at most 2^RARITY_BITS rows
-        table[i] = c
+            v, n = np.unique(_flat(batch)[0], return_counts=True)
+            v, n = v[n > 1], n[n > 1]
+            i, where = np.unique(_bucket(v), return_inverse=True)
+            yield from batches({"i": (i, pa.int32()),
+                                "c": (np.bincount(where, n, len(i)).astype(np.int64), pa.int64())})
+
+    table = np.zeros(1 << RARITY_BITS, np.uint8)
+    counts = features.select("sketch").mapInArrow(run, "i int, c long").groupBy("i").agg(
+        F.least(F.lit(255), F.floor(4 * F.log2(F.sum("c") + 1))).cast("short").alias("c"))
+    found = counts.toPandas()                                  # at most 2^RARITY_BITS rows
+    table[found["i"].to_numpy(np.int64)] = found["c"].to_numpy(np.uint8)
     return table
 
 
