@@ -148,45 +148,68 @@ def _sets(k: int):
     def run(it):
         for batch in it:
             ids = batch.column("_d").to_pylist()
-            out = [(ids[i], len(u), u.tobytes()) for i, u in shingle_sets(blobs(batch), k)]
-            yield from batches({"c": ([x[0] for x in out], pa.int64()), "n": ([x[1] for x in out], pa.int32()),
-                                "s": ([x[2] for x in out], pa.binary())}, 2000)
+            out = [(ids[i], u.tobytes()) for i, u in shingle_sets(blobs(batch), k)]
+            yield from batches({"_d": ([x[0] for x in out], pa.int64()), "s": ([x[1] for x in out], pa.binary())},
+                               2000)
     return run
 
 
-def _verify(num: int, den: int, retained: int):
+def _keep(test, left: str, right: str, cast):
+    """Keep the pairs (a, b) whose columns ``left`` and ``right`` pass."""
+    def run(it):
+        for batch in it:
+            x, y = batch.column(left), batch.column(right)
+            ok = [i for i in range(batch.num_rows) if test(cast(x[i]), cast(y[i]))]
+            yield batch.select(["a", "b"]).take(pa.array(ok, pa.int64()))
+    return run
+
+
+def _estimate(num: int, den: int, retained: int):
+    """Similarity from the bottom of the union of two sketches, with a slack
+    of seven standard deviations; sets that are retained whole pass."""
     t = num / den
-    slack = 7 * (t * (1 - t) / retained) ** 0.5
+    least = (t - 7 * (t * (1 - t) / retained) ** 0.5) * retained
+
+    def near(a: np.ndarray, b: np.ndarray) -> bool:
+        if min(len(a), len(b)) < retained:
+            return True
+        both = np.sort(np.concatenate([a, b]))
+        twice = both[1:] == both[:-1]
+        last = both[np.concatenate([[True], ~twice])][retained - 1]     # bottom of the union
+        return int((both[1:][twice] <= last).sum()) >= least
+    return _keep(near, "sa", "sb", lambda x: x.values.to_numpy(zero_copy_only=False).view(np.uint64))
 
+
+def _exact(num: int, den: int):
     def linked(a: np.ndarray, b: np.ndarray) -> bool:
-        if len(a) > retained and len(b) > retained:
-            u = np.sort(np.concatenate([a[:retained], b[:retained]]))
-            twice = u[1:] == u[:-1]
-            first = np.unique(u)[:retained]                     # bottom of the union
-            if (u[1:][twice] <= first[-1]).sum() < (t - slack) * retained:
-                return False
         both = np.sort(np.concatenate([a, b]))
         inter = int((both[1:] == both[:-1]).sum())
         return den * inter >= num * (len(a) + len(b) - inter)
+    return _keep(linked, "sa", "sb", lambda x: np.frombuffer(x.as_buffer(), np.uint64))
 
-    def run(it):
-        for batch in it:
-            a, b = batch.column("sa").to_pylist(), batch.column("sb").to_pylist()
-            ok = [i for i in range(len(a)) if linked(np.frombuffer(a[i], np.uint64), np.frombuffer(b[i], np.uint64))]
-            yield batch.select(["a", "b"]).take(pa.array(ok, pa.int64()))
-    return run
+
+def _ids(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("_d")).union(pairs.select(F.col("b").alias("_d"))).distinct()
+
+
+def _with_both(pairs: DataFrame, table: DataFrame, col: str) -> DataFrame:
+    """``pairs`` with ``col`` of both documents as sa and sb."""
+    return (pairs.join(table.select(F.col("_d").alias("a"), F.col(col).alias("sa")), "a")
+            .join(table.select(F.col("_d").alias("b"), F.col(col).alias("sb")), "b"))
 
 
-def _linked(pairs: DataFrame, texts: DataFrame, k: int, num: int, den: int, retained: int) -> DataFrame:
-    """The pairs (a, b), distinct, whose full sets reach the threshold."""
-    ids = pairs.select(F.col("a").alias("_d")).union(pairs.select(F.col("b").alias("_d"))).distinct()
-    sets = materialize(only_ids(texts, ids).mapInArrow(_sets(k), "c long, n int, s binary"), "sets")
-    a = sets.select(F.col("c").alias("a"), F.col("n").alias("na"), F.col("s").alias("sa"))
-    b = sets.select(F.col("c").alias("b"), F.col("n").alias("nb"), F.col("s").alias("sb"))
-    sized = (F.least("na", "nb") * den >= F.greatest("na", "nb") * num)
-    # sizes first: pairs of unlike sizes never carry their sets
-    near = pairs.join(a.select("a", "na"), "a").join(b.select("b", "nb"), "b").filter(sized).select("a", "b").distinct()
-    return near.join(a, "a").join(b, "b").mapInArrow(_verify(num, den, retained), "a long, b long").distinct()
+def _linked(pairs: DataFrame, feats: DataFrame, texts: DataFrame, k: int, num: int, den: int,
+            retained: int) -> DataFrame:
+    """The pairs (a, b), distinct, whose full sets reach the threshold: first
+    by their sizes, then by their sketches, then by their sets, so that only
+    what is left moves the wider column."""
+    sized = _with_both(pairs, feats, "n").filter(F.least("sa", "sb") * den >= F.greatest("sa", "sb") * num)
+    sized = materialize(sized.select("a", "b").distinct(), "sized_pairs")
+    sketches = only_ids(feats.select("_d", "sketch"), _ids(sized))
+    near = materialize(_with_both(sized, sketches, "sketch").mapInArrow(_estimate(num, den, retained),
+                                                                       "a long, b long").distinct(), "near_pairs")
+    sets = materialize(only_ids(texts, _ids(near)).mapInArrow(_sets(k), "_d long, s binary"), "sets")
+    return _with_both(near, sets, "s").mapInArrow(_exact(num, den), "a long, b long").distinct()
 
 
 def _pairs(x: str, y: str, df: DataFrame) -> DataFrame:
@@ -214,7 +237,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     led = keys.join(ends, "k")
     first = materialize(_pairs("c", "l", led.select("c", F.explode(F.array("lo", "hi")).alias("l")).distinct()),
                         "pairs")
-    edges = materialize(_linked(first, texts, shingle, num, den, retained), "links")
+    edges = materialize(_linked(first, feats, texts, shingle, num, den, retained), "links")
 
     comp = components(edges)
     placed = led.select("k", "c").join(comp.withColumnRenamed("v", "c"), "c", "left").select(
@@ -229,7 +252,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     cross = rest.join(members, "k").filter("comp <> cx and (comp = main or x < c)")
     second = materialize(_pairs("x", "c", cross.select("x", "c")).join(first, ["a", "b"], "left_anti"), "pairs")
     if second.limit(1).count():
-        edges = edges.union(_linked(second, texts, shingle, num, den, retained))
+        edges = edges.union(_linked(second, feats, texts, shingle, num, den, retained))
         comp = components(edges)
     return member.join(comp.withColumnRenamed("v", "c"), "c", "left").select(
         "_d", "_h", F.col("n").cast("long").alias("n_shingles"), F.coalesce("comp", "c").alias("comp"))
