@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillpoint.session import materialize, ship_package  # noqa: F401  (materialize: for the operators)
@@ -21,17 +21,31 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def prepare(spark: SparkSession) -> None:
+    """Ship the package, and bound an Arrow batch to 2,000 rows or 16 MB where
+    the session has Spark's defaults: a worker holds a few copies of one."""
+    ship_package(spark)
+    for key, default, value in (("maxRecordsPerBatch", "10000", "2000"),
+                                ("maxBytesPerBatch", "67108864b", "16777216b")):
+        name = f"spark.sql.execution.arrow.{key}"
+        if spark.conf.get(name) == default:
+            spark.conf.set(name, value)
+
+
 def row_id(id_col: str, text_col: str) -> Column:
     null_id = F.lit(NULL_ID) + F.xxhash64(F.col(text_col)).bitwiseAND(F.lit(NULL_ID - 1))
     return F.coalesce(F.col(id_col).cast("long"), null_id)
 
 
-def keyed_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(_d, _h, _t): document id (null: above all ids), hash of the text,
-    text.  Rows that agree in id and text are one document."""
-    ship_package(docs.sparkSession)
+def keyed_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                mask: int = -1) -> DataFrame:
+    """(_d, _h, _t): document id (null: above all ids), hash of the text
+    (its bits in ``mask``), text.  Rows that agree in id and text are one
+    document."""
+    prepare(docs.sparkSession)
     t = F.col(text_col)
-    return docs.select(row_id(id_col, text_col).alias("_d"), F.xxhash64(t).alias("_h"), t.alias("_t"))
+    return docs.select(row_id(id_col, text_col).alias("_d"),
+                       F.xxhash64(t).bitwiseAND(F.lit(mask)).alias("_h"), t.alias("_t"))
 
 
 def real_id(col: str = "_d") -> Column:
