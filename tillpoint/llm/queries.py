@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillpoint.llm import minhash_dedup, quality_rules, suffix_dedup
+from tillpoint.llm import minhash_dedup, quality_rules, substring_dedup, suffix_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,10 +25,14 @@ def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.report(_table(spark, sf_dir, "documents"), length=100)
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.report(_table(spark, sf_dir, "documents"), length=35)
+
+
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.report(_table(spark, sf_dir, "documents"), shingle=3, num=85, den=100)
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_suffix_array_dedup, op5_minhash_near_dedup)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_suffix_array_dedup, op4_substring_dedup, op5_minhash_near_dedup)}
 
 ORACLE: dict[str, str] = {}
