@@ -42,8 +42,8 @@ from tillpoint.llm import segments
 from tillpoint.llm.common import batches, blobs, keyed_texts, materialize, real_id
 from tillpoint.llm.hashing import gram_hashes, window_runs, word_chunks
 
-RUN_BLOCKS = 150_000          # blocks sorted at once by a map task
-PART_BYTES = 48 << 20         # words (8 bytes) of a shard's blocks
+RUN_BLOCKS = 200_000          # blocks sorted at once by a map task
+PART_BYTES = 72 << 20         # words (8 bytes) of a shard's blocks
 AUTOMATON_WORDS = 100_000
 SAMPLES = 100                 # sampled blocks by shard
 SECOND_BASE = 0xA0761D6478BD642F | 1
@@ -362,12 +362,12 @@ def _apply(docs: DataFrame, id_col: str, text_col: str, length: int, gram: int,
 
 
 def remove_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 35,
-                    gram: int = 6) -> DataFrame:
+                    gram: int = 4) -> DataFrame:
     """(id, kept): the kept words of each text, joined by spaces."""
     return _apply(docs, id_col, text_col, length, gram, _texts, "kept string")
 
 
 def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 35,
-           gram: int = 6) -> DataFrame:
+           gram: int = 4) -> DataFrame:
     """(id, n_words, n_removed, kept_sha256) of each document."""
     return _apply(docs, id_col, text_col, length, gram, _digest, "n_words long, n_removed long, kept_sha256 string")
