@@ -12,16 +12,24 @@ smallest hashes of the set are its bottom-k sketch.
    retained values share one of the first q + 1.  For sets that are retained
    whole q follows from the threshold; for larger ones it is the binomial
    quantile at 10^-10.
-3. Every list gives the pairs of its members with its smallest and its largest
-   member, so a list of any length gives two pairs a member; verified pairs
-   are joined to components.
-4. Lists that then still span several components give the pairs between them:
-   each member outside the list's largest component with all members of other
-   components.  Pairs inside one component need no test, so the components
-   are those of all linked pairs, without all pairs of a group.
-5. A pair is verified by an estimate from the union of both sketches, which
-   rejects pairs far below the threshold, and then by the exact sizes of
-   intersection and union of the full sets.
+3. A list's smallest member leads it.  Every member is compared with its
+   leader, so a list of any length gives one pair a member.  A pair is first
+   screened by sizes, then by an estimate from the bottom of the union of both
+   sketches, and then measured on the full sets; what moves between tasks gets
+   wider only for what is left.
+4. Members near their leader (distance up to CORE) can be linked only with
+   documents within CORE + 1 - threshold of it (Jaccard distance is a metric).
+   These are described by their differences from the group's majority set.
+   Two members are linked if their differences are few enough together, or
+   cancel because they share some.  Links of the first kind imply a link to
+   the member with the fewest differences; those of the second kind are found
+   in inverted lists of difference values, which are rare by construction.  A
+   group of near copies costs about its total differences, not its pairs.
+5. Members far from their leader form shorter lists with leaders of their own
+   (steps 3 and 4 again, up to ROUNDS times while the lists are long).  What
+   is then far is compared pair by pair: in each list those outside the
+   largest component with those of other components.  Pairs inside one
+   component need no test, so the components are exact.
 
 Null and empty texts have an empty set and are linked with nothing; a text
 with fewer words than a shingle has its whole sequence as one shingle.
@@ -32,7 +40,7 @@ after all ids and is reported as null.  Other columns are not read.
 
 from __future__ import annotations
 
-from functools import cache
+from functools import cache, reduce
 from math import ceil, comb
 
 import numpy as np
@@ -46,6 +54,9 @@ from tillpoint.llm.hashing import mix, sequence_hash, shingle_hashes, word_chunk
 
 RETAINED = 96                # values in a sketch
 RARITY_BITS = 22             # the rarity table has 2^22 one-byte counts
+CORE = 0.45                  # distance from the leader up to which differences are used
+ROUNDS = 2                   # leaders by list, one after the other, while lists stay long
+PLAIN = 4                    # pairs by listed member at which lists count as short
 MISS = 1e-10                 # chance that a pair at the threshold shares no listed value
 
 
@@ -154,19 +165,10 @@ def _sets(k: int):
     return run
 
 
-def _keep(test, left: str, right: str, cast):
-    """Keep the pairs (a, b) whose columns ``left`` and ``right`` pass."""
-    def run(it):
-        for batch in it:
-            x, y = batch.column(left), batch.column(right)
-            ok = [i for i in range(batch.num_rows) if test(cast(x[i]), cast(y[i]))]
-            yield batch.select(["a", "b"]).take(pa.array(ok, pa.int64()))
-    return run
-
-
 def _estimate(num: int, den: int, retained: int):
-    """Similarity from the bottom of the union of two sketches, with a slack
-    of seven standard deviations; sets that are retained whole pass."""
+    """Keep the pairs whose similarity, estimated from the bottom of the union
+    of their sketches with seven standard deviations of slack, may reach the
+    threshold; sets that are retained whole pass."""
     t = num / den
     least = (t - 7 * (t * (1 - t) / retained) ** 0.5) * retained
 
@@ -177,15 +179,40 @@ def _estimate(num: int, den: int, retained: int):
         twice = both[1:] == both[:-1]
         last = both[np.concatenate([[True], ~twice])][retained - 1]     # bottom of the union
         return int((both[1:][twice] <= last).sum()) >= least
-    return _keep(near, "sa", "sb", lambda x: x.values.to_numpy(zero_copy_only=False).view(np.uint64))
 
+    def values(x) -> np.ndarray:
+        return x.values.to_numpy(zero_copy_only=False).view(np.uint64)
 
-def _exact(num: int, den: int):
-    def linked(a: np.ndarray, b: np.ndarray) -> bool:
-        both = np.sort(np.concatenate([a, b]))
-        inter = int((both[1:] == both[:-1]).sum())
-        return den * inter >= num * (len(a) + len(b) - inter)
-    return _keep(linked, "sa", "sb", lambda x: np.frombuffer(x.as_buffer(), np.uint64))
+    def run(it):
+        for batch in it:
+            x, y = batch.column("sa"), batch.column("sb")
+            ok = [i for i in range(batch.num_rows) if near(values(x[i]), values(y[i]))]
+            yield batch.select(["a", "b"]).take(pa.array(ok, pa.int64()))
+    return run
+
+
+def _measure(num: int, den: int):
+    """Sizes and differing values of the pairs whose full sets reach the
+    threshold."""
+    def run(it):
+        for batch in it:
+            x, y = batch.column("sa"), batch.column("sb")
+            keep, na, nb, diff = [], [], [], []
+            for i in range(batch.num_rows):
+                a, b = np.frombuffer(x[i].as_buffer(), np.uint64), np.frombuffer(y[i].as_buffer(), np.uint64)
+                both = np.sort(np.concatenate([a, b]))
+                twice = np.concatenate([[False], both[1:] == both[:-1], [False]])
+                inter = int(twice.sum())
+                if den * inter >= num * (len(both) - inter):
+                    keep.append(i)
+                    na.append(len(a))
+                    nb.append(len(b))
+                    diff.append(both[~(twice[1:] | twice[:-1])].view(np.int64))
+            take = pa.array(keep, pa.int64())
+            yield from batches({"a": (batch.column("a").take(take), pa.int64()),
+                                "b": (batch.column("b").take(take), pa.int64()), "na": (na, pa.int32()),
+                                "nb": (nb, pa.int32()), "diff": (diff, pa.list_(pa.int64()))}, 2000)
+    return run, "a long, b long, na int, nb int, diff array<long>"
 
 
 def _ids(pairs: DataFrame) -> DataFrame:
@@ -198,23 +225,91 @@ def _with_both(pairs: DataFrame, table: DataFrame, col: str) -> DataFrame:
             .join(table.select(F.col("_d").alias("b"), F.col(col).alias("sb")), "b"))
 
 
-def _linked(pairs: DataFrame, feats: DataFrame, texts: DataFrame, k: int, num: int, den: int,
-            retained: int) -> DataFrame:
-    """The pairs (a, b), distinct, whose full sets reach the threshold: first
-    by their sizes, then by their sketches, then by their sets, so that only
-    what is left moves the wider column."""
+def _measured(pairs: DataFrame, feats: DataFrame, texts: DataFrame, k: int, num: int, den: int,
+              retained: int) -> DataFrame:
+    """The pairs (a, b) whose full sets reach num / den, with sizes and
+    differing values; the wider a column, the fewer pairs it moves for."""
     sized = _with_both(pairs, feats, "n").filter(F.least("sa", "sb") * den >= F.greatest("sa", "sb") * num)
     sized = materialize(sized.select("a", "b").distinct(), "sized_pairs")
     sketches = only_ids(feats.select("_d", "sketch"), _ids(sized))
     near = materialize(_with_both(sized, sketches, "sketch").mapInArrow(_estimate(num, den, retained),
                                                                        "a long, b long").distinct(), "near_pairs")
-    sets = materialize(only_ids(texts, _ids(near)).mapInArrow(_sets(k), "_d long, s binary"), "sets")
-    return _with_both(near, sets, "s").mapInArrow(_exact(num, den), "a long, b long").distinct()
+    sets = materialize(only_ids(texts, _ids(near)).mapInArrow(_sets(k), "_d long, s binary").distinct(), "sets")
+    run, schema = _measure(num, den)
+    return materialize(_with_both(near, sets, "s").mapInArrow(run, schema), "measured_pairs")
+
+
+def _reaches(num: int, den: int, na, nb, differing):
+    """den * intersection >= num * union for sets of na and nb values of which
+    ``differing`` are in one only."""
+    return den * (na + nb - differing) >= num * (na + nb + differing)
+
+
+def _component_of(df: DataFrame, comp: DataFrame, col: str, name: str) -> DataFrame:
+    return (df.join(comp.select(F.col("v").alias(col), F.col("comp").alias("_c")), col, "left")
+            .withColumn(name, F.coalesce("_c", col)).drop("_c"))
+
+
+def _links_by_difference(led: DataFrame, comp: DataFrame, num: int, den: int) -> DataFrame:
+    """Links (a, b) between members of a leader's group that are not yet in
+    one component.  ``led``: leader a, member b, na, nb, diff."""
+    placed = _component_of(_component_of(led, comp, "b", "cb"), comp, "a", "ca")
+    open_ = (placed.groupBy("a")
+             .agg((F.count("*") + 1).alias("m"), F.min("cb").alias("x"), F.max("cb").alias("y"), F.min("ca").alias("z"))
+             .filter("m > 2 and (x <> y or x <> z)").select("a", "m"))
+    group = materialize(placed.join(open_, "a"), "open_groups")
+    values = group.select("a", "m", "b", F.explode("diff").alias("v"))
+    hot = materialize(values.groupBy("a", "v").agg(F.count("*").alias("c"), F.first("m").alias("m"))
+                      .filter("2 * c > m").select("a", "v"), "majority")
+    leaders = group.select("a", F.col("a").alias("b"), F.col("na").alias("nb"), F.col("ca").alias("cb")).distinct()
+    members = group.select("a", "b", "nb", "cb").union(leaders)
+    lacking = members.select("a", "b").join(hot, "a").join(values.select("a", "b", "v"), ["a", "b", "v"], "left_anti")
+    diff = materialize(values.select("a", "b", "v").join(hot, ["a", "v"], "left_anti").select("a", "b", "v")
+                       .union(lacking.select("a", "b", "v")), "differences")
+    sized = materialize(members.join(diff.groupBy("a", "b").agg(F.count("*").alias("nd")), ["a", "b"], "left")
+                        .fillna(0, ["nd"]), "difference_sizes")
+    # fewest differences for its size: nd - (1 - t) / (1 + t) * n, in integers
+    score = F.col("nd") * (den + num) - F.col("nb") * (den - num)
+    best = sized.groupBy("a").agg(F.min_by(F.struct("b", "nb", "nd"), F.struct(score, "b")).alias("o"))
+    close = (sized.join(best, "a").filter(_reaches(num, den, F.col("nb"), F.col("o.nb"), F.col("nd") + F.col("o.nd")))
+             .select(F.col("b").alias("x"), F.col("o.b").alias("y")).filter("x <> y"))
+    rows = diff.join(sized, ["a", "b"])
+    left = rows.select("a", "v", *[F.col(c).alias(c + "1") for c in ("b", "nb", "nd", "cb")])
+    shared = (left.join(rows, ["a", "v"]).filter("b1 < b and cb1 <> cb")
+              .groupBy("a", "b1", "b", "nb1", "nb", "nd1", "nd").agg(F.count("*").alias("s")))
+    crossed = shared.filter(_reaches(num, den, F.col("nb"), F.col("nb1"), F.col("nd") + F.col("nd1") - 2 * F.col("s")))
+    return close.union(crossed.select("b1", "b")).toDF("a", "b").distinct()
+
+
+def _led(lists: DataFrame) -> DataFrame:
+    """(k, c, lo): the lists of two or more members with their smallest."""
+    ends = lists.groupBy("k").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo <> hi")
+    return materialize(lists.join(ends.drop("hi"), "k").select("k", "c", "lo"), "led_lists")
+
+
+def _far_members(led: DataFrame, core: DataFrame, comp: DataFrame) -> DataFrame:
+    """(k, c, comp, main): members that are not near their list's leader, in
+    lists whose far members span several components; main is the largest."""
+    far = led.filter("c <> lo").join(core, ["lo", "c"], "left_anti").select("k", "c")
+    far = materialize(_component_of(far, comp, "c", "comp"), "far_members")
+    sizes = far.groupBy("k", "comp").count()
+    open_ = (sizes.groupBy("k").agg(F.count("*").alias("m"), F.max(F.struct("count", "comp"))["comp"].alias("main"))
+             .filter("m > 1").select("k", "main"))
+    return materialize(far.join(open_, "k"), "open_lists")
 
 
-def _pairs(x: str, y: str, df: DataFrame) -> DataFrame:
-    return (df.filter(F.col(x) != F.col(y))
-            .select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).distinct())
+def _cross_size(members: DataFrame) -> int:
+    """How many rows the comparison of all far members would make."""
+    n = members.groupBy("k").agg(F.count("*").alias("n"), F.sum((F.col("comp") != F.col("main")).cast("long")).alias("o"))
+    return n.agg(F.sum(F.col("n") * F.col("o"))).first()[0] or 0
+
+
+def _cross_pairs(members: DataFrame) -> DataFrame:
+    """Members outside a list's largest component with members of other
+    components."""
+    rest = members.filter("comp <> main").select("k", F.col("c").alias("x"), F.col("comp").alias("cx"))
+    cross = rest.join(members, "k").filter("comp <> cx and (comp = main or x < c)")
+    return cross.select(F.least("x", "c").alias("a"), F.greatest("x", "c").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5,
@@ -233,27 +328,26 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     table = _rarity(feats)
     keys = materialize(reps.mapInArrow(_lists(table, num, den, retained), "k long, c long"), "lists")
 
-    ends = keys.groupBy("k").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo <> hi")
-    led = keys.join(ends, "k")
-    first = materialize(_pairs("c", "l", led.select("c", F.explode(F.array("lo", "hi")).alias("l")).distinct()),
-                        "pairs")
-    edges = materialize(_linked(first, feats, texts, shingle, num, den, retained), "links")
-
-    comp = components(edges)
-    placed = led.select("k", "c").join(comp.withColumnRenamed("v", "c"), "c", "left").select(
-        "k", "c", F.coalesce("comp", "c").alias("comp"))
-    placed = materialize(placed, "placed_lists")
-    sizes = placed.groupBy("k", "comp").count()
-    open_ = (sizes.groupBy("k").agg(F.count("*").alias("m"),
-                                    F.max(F.struct("count", "comp"))["comp"].alias("main"))
-             .filter("m > 1").select("k", "main"))
-    members = placed.join(open_, "k")
-    rest = members.filter("comp <> main").select("k", F.col("c").alias("x"), F.col("comp").alias("cx"))
-    cross = rest.join(members, "k").filter("comp <> cx and (comp = main or x < c)")
-    second = materialize(_pairs("x", "c", cross.select("x", "c")).join(first, ["a", "b"], "left_anti"), "pairs")
-    if second.limit(1).count():
-        edges = edges.union(_linked(second, feats, texts, shingle, num, den, retained))
-        comp = components(edges)
+    led, edges = _led(keys), []
+    for _ in range(ROUNDS):
+        pairs = led.filter("c <> lo").select(F.col("lo").alias("a"), F.col("c").alias("b")).distinct()
+        # partners of a member within CORE of the leader are within this reach of it
+        near = _measured(pairs, feats, texts, shingle, int((num / den - CORE) * 100), 100, retained)
+        edges.append(near.filter(_reaches(num, den, F.col("na"), F.col("nb"), F.size("diff"))).select("a", "b"))
+        comp = components(reduce(DataFrame.union, edges))
+        edges.append(materialize(_links_by_difference(near, comp, num, den), "links"))
+        comp = components(reduce(DataFrame.union, edges))
+        core = near.filter(_reaches(round(100 * (1 - CORE)), 100, F.col("na"), F.col("nb"), F.size("diff"))).select(
+            F.col("a").alias("lo"), F.col("b").alias("c")).distinct()
+        far = _far_members(led, core, comp)
+        work = _cross_size(far)
+        if work <= PLAIN * far.count():
+            break
+        led = _led(far.select("k", "c"))
+    if work:
+        pairs = materialize(_cross_pairs(far), "far_pairs")
+        edges.append(_measured(pairs, feats, texts, shingle, num, den, retained).select("a", "b"))
+        comp = components(reduce(DataFrame.union, edges))
     return member.join(comp.withColumnRenamed("v", "c"), "c", "left").select(
         "_d", "_h", F.col("n").cast("long").alias("n_shingles"), F.coalesce("comp", "c").alias("comp"))
 
