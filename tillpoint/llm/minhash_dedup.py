@@ -23,8 +23,7 @@ smallest hashes of the set are its bottom-k sketch.
    Two members are linked if their differences are few enough together, or
    cancel because they share some.  Links of the first kind imply a link to
    the member with the fewest differences; those of the second kind are found
-   in inverted lists of difference values, which are rare by construction.  A
-   group of near copies costs about its total differences, not its pairs.
+   in inverted lists of difference values under a prefix filter.
 5. Members far from their leader form shorter lists with leaders of their own
    (steps 3 and 4 again, up to ROUNDS times while the lists are long).  What
    is then far is compared pair by pair: in each list those outside the
@@ -45,7 +44,7 @@ from math import ceil, comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillpoint.llm.common import batches, blobs, keyed_texts, materialize, only_ids, real_id, row_id
@@ -268,17 +267,33 @@ def _links_by_difference(led: DataFrame, comp: DataFrame, num: int, den: int) ->
                        .union(lacking.select("a", "b", "v")), "differences")
     sized = materialize(members.join(diff.groupBy("a", "b").agg(F.count("*").alias("nd")), ["a", "b"], "left")
                         .fillna(0, ["nd"]), "difference_sizes")
-    # fewest differences for its size: nd - (1 - t) / (1 + t) * n, in integers
-    score = F.col("nd") * (den + num) - F.col("nb") * (den - num)
-    best = sized.groupBy("a").agg(F.min_by(F.struct("b", "nb", "nd"), F.struct(score, "b")).alias("o"))
-    close = (sized.join(best, "a").filter(_reaches(num, den, F.col("nb"), F.col("o.nb"), F.col("nd") + F.col("o.nd")))
-             .select(F.col("b").alias("x"), F.col("o.b").alias("y")).filter("x <> y"))
-    rows = diff.join(sized, ["a", "b"])
-    left = rows.select("a", "v", *[F.col(c).alias(c + "1") for c in ("b", "nb", "nd", "cb")])
-    shared = (left.join(rows, ["a", "v"]).filter("b1 < b and cb1 <> cb")
-              .groupBy("a", "b1", "b", "nb1", "nb", "nd1", "nd").agg(F.count("*").alias("s")))
-    crossed = shared.filter(_reaches(num, den, F.col("nb"), F.col("nb1"), F.col("nd") + F.col("nd1") - 2 * F.col("s")))
-    return close.union(crossed.select("b1", "b")).toDF("a", "b").distinct()
+    # nd - (1 - t) / (1 + t) * n, in integers: two members are linked exactly
+    # if twice their shared differences make up for the sum of their scores
+    unit = den + num
+    sized = sized.withColumn("score", (F.col("nd") * unit - F.col("nb") * (den - num)).cast("long"))
+    best = sized.groupBy("a").agg(F.min_by(F.struct("b", "score"), F.struct("score", "b")).alias("o"))
+    sized = materialize(sized.join(best, "a"), "difference_scores")
+    close = sized.filter("score + o.score <= 0 and b <> o.b").select("b", F.col("o.b").alias("y"))
+    # prefix filter over the differences that others have too, rare ones first:
+    # of two members the one with the lower score is indexed
+    common = diff.groupBy("a", "v").agg(F.count("*").alias("c")).filter("c > 1")
+    w = Window.partitionBy("a", "b")
+    ranked = (diff.join(common, ["a", "v"]).withColumn("r", F.row_number().over(w.orderBy("c", "v")))
+              .withColumn("q", F.count("*").over(w)))
+    ranked = materialize(ranked.join(sized.select("a", "b", "cb", "score", "o"), ["a", "b"]), "ranked_differences")
+
+    def prefix(needed):
+        return ranked.filter(F.col("r") <= F.col("q") - F.greatest(F.lit(1), F.ceil(needed / (2 * unit))) + 1)
+
+    index = prefix(2 * F.col("score")).select("a", "v", "b", "cb", "score")
+    probe = prefix(F.col("score") + F.col("o.score")).select(
+        "a", "v", *[F.col(c).alias(c + "1") for c in ("b", "cb", "score")])
+    cand = (index.join(probe, ["a", "v"]).filter("cb <> cb1 and (score < score1 or (score = score1 and b < b1))")
+            .select("a", "b", "b1", (F.col("score") + F.col("score1")).alias("need")).distinct())
+    lists = ranked.groupBy("a", "b").agg(F.collect_list("v").alias("vs"))      # at most a set's size
+    cand = cand.join(lists, ["a", "b"]).join(lists.toDF("a", "b1", "vs1"), ["a", "b1"])
+    crossed = cand.filter(2 * unit * F.size(F.array_intersect("vs", "vs1")) >= F.col("need"))
+    return close.union(crossed.select("b", "b1")).toDF("a", "b").distinct()
 
 
 def _led(lists: DataFrame) -> DataFrame:

@@ -6,7 +6,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillpoint.llm import minhash_dedup, quality_rules, substring_dedup, suffix_dedup
+from tillpoint.llm import (
+    decontaminate,
+    language_id,
+    minhash_dedup,
+    mixing,
+    pii,
+    quality_classifier,
+    quality_rules,
+    substring_dedup,
+    suffix_dedup,
+    url_filter,
+)
+
+#: the rules of the URL query
+URL_RULES = [("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"),
+             ("net/es/", "block"), ("net/fr/", "block")]
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +40,11 @@ def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.report(_table(spark, sf_dir, "documents"), length=100)
 
 
+def op3_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = mixing.mix(_table(spark, sf_dir, "documents").select("doc_id", "text", "source"), repeat_limit=2.0)
+    return d.groupBy("doc_id", "source").agg(F.count("*").alias("copies"), F.max("mix_epoch").alias("last_epoch"))
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.report(_table(spark, sf_dir, "documents"), length=35)
 
@@ -33,6 +53,29 @@ def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.report(_table(spark, sf_dir, "documents"), shingle=3, num=85, den=100)
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_suffix_array_dedup, op4_substring_dedup, op5_minhash_near_dedup)}
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(_table(spark, sf_dir, "pages"), URL_RULES)
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(_table(spark, sf_dir, "documents"))
+
+
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.pseudonymise(docs, count_col="n_replaced")
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_quality_rules, op2_suffix_array_dedup, op3_mixing_sources, op4_substring_dedup, op5_minhash_near_dedup,
+    op6_quality_classifier, op7_benchmark_decontamination, op8_url_filters, op9_language_id, op10_pii)}
 
 ORACLE: dict[str, str] = {}
