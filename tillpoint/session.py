@@ -12,7 +12,9 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import uuid
 import zipfile
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -99,12 +101,48 @@ def materialize(df, name: str):
     read it back: cuts the lineage and lets several branches of a plan use
     the result without recomputing it (a lost executor re-reads the files
     instead of recomputing the whole chain)."""
-    import uuid
-
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)   # known schema: no footer scan
+    table = spark.read.schema(df.schema).parquet(path)   # known schema: no footer scan
+    if _open:
+        _open[-1].tables.append((table, path))
+    return table
+
+
+class Scratch:
+    """Tables written by ``materialize`` while a ``scratch()`` block is open."""
+
+    def __init__(self):
+        self.tables: list = []
+        self.kept: list = []
+
+    def keep(self, table):
+        """Leave ``table`` for whoever uses the block's result."""
+        self.kept += [t for t in self.tables if t[0] is table]
+        return table
+
+
+_open: list[Scratch] = []
+
+
+@contextmanager
+def scratch():
+    """Empty, at the end of the block, the tables that were written in it and
+    not kept; kept ones belong to the enclosing block, if any.  For results
+    that no longer read the others, i.e. are materialised themselves."""
+    block = Scratch()
+    _open.append(block)
+    try:
+        yield block
+    finally:
+        _open.pop()
+    kept = {path for _, path in block.kept}
+    for table, path in block.tables:
+        if path not in kept:
+            table.sparkSession.createDataFrame([], table.schema).write.mode("overwrite").parquet(path)
+    if _open:
+        _open[-1].tables += block.kept
 
 
 def shuffle_partitions_for(input_bytes: int, target_bytes: int = 256 << 20,
