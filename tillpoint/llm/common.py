@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillpoint.session import materialize, ship_package  # noqa: F401  (materialize: for the operators)
+from tillpoint.session import materialize, scratch, ship_package  # noqa: F401  (for the operators)
 
 #: ids from here on stand for a null document id (with bits of the text's
 #: hash, so that such rows stay apart); they sort after every real id

@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillpoint.llm.common import materialize
+from tillpoint.llm.common import materialize, scratch
 
 
 def _large(e: DataFrame) -> DataFrame:
@@ -31,12 +31,14 @@ def _mark(e: DataFrame) -> tuple:
 def components(edges: DataFrame) -> DataFrame:
     """(v, comp) for every vertex of ``edges`` (a, b): the smallest vertex of
     its component."""
-    e = materialize(edges.select("a", "b").filter("a <> b").distinct(), "edges")
-    mark = _mark(e)
-    while mark[0]:
-        e = materialize(_small(_large(e)).filter("a <> b").distinct(), "edges")
-        mark, old = _mark(e), mark
-        if mark == old:
-            break
+    with scratch() as block:
+        e = materialize(edges.select("a", "b").filter("a <> b").distinct(), "edges")
+        mark = _mark(e)
+        while mark[0]:
+            e = materialize(_small(_large(e)).filter("a <> b").distinct(), "edges")
+            mark, old = _mark(e), mark
+            if mark == old:
+                break
+        block.keep(e)
     return e.select(F.col("a").alias("v"), F.col("b").alias("comp")).union(
         e.select(F.col("b").alias("v"), F.col("b").alias("comp")).distinct())

@@ -47,14 +47,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillpoint.llm.common import batches, blobs, keyed_texts, materialize, only_ids, real_id, row_id
+from tillpoint.llm.common import batches, blobs, keyed_texts, materialize, only_ids, real_id, row_id, scratch
 from tillpoint.llm.components import components
 from tillpoint.llm.hashing import mix, sequence_hash, shingle_hashes, word_chunks
 
 RETAINED = 96                # values in a sketch
 RARITY_BITS = 22             # the rarity table has 2^22 one-byte counts
-CORE = 0.45                  # distance from the leader up to which differences are used
-ROUNDS = 2                   # leaders by list, one after the other, while lists stay long
+RARITY_VALUES = 2_500_000    # counted at once
+CORE = 0.35                  # distance from the leader up to which differences are used
+ROUNDS = 3                   # leaders by list, one after the other, while lists stay long
 PLAIN = 4                    # pairs by listed member at which lists count as short
 MISS = 1e-10                 # chance that a pair at the threshold shares no listed value
 
@@ -117,17 +118,27 @@ def _bucket(v: np.ndarray) -> np.ndarray:
 
 
 def _rarity(features: DataFrame) -> np.ndarray:
-    """Counts of the retained values that a batch of documents holds more
-    than once, summed over all batches into 2^RARITY_BITS buckets and kept as
-    logarithms (one byte each).  Values that meet nowhere in a batch count 0,
+    """Counts of the retained values that a task's documents hold more than
+    once (by RARITY_VALUES values), summed over all tasks into 2^RARITY_BITS buckets and kept as
+    logarithms (one byte each).  Values that repeat in no task count 0,
     so what is moved is what repeats."""
+    def count(held: list[np.ndarray]):
+        v, n = np.unique(np.concatenate(held), return_counts=True)
+        v, n = v[n > 1], n[n > 1]
+        i, where = np.unique(_bucket(v), return_inverse=True)
+        yield from batches({"i": (i, pa.int32()),
+                            "c": (np.bincount(where, n, len(i)).astype(np.int64), pa.int64())})
+
     def run(it):
+        held, size = [], 0
         for batch in it:
-            v, n = np.unique(_flat(batch)[0], return_counts=True)
-            v, n = v[n > 1], n[n > 1]
-            i, where = np.unique(_bucket(v), return_inverse=True)
-            yield from batches({"i": (i, pa.int32()),
-                                "c": (np.bincount(where, n, len(i)).astype(np.int64), pa.int64())})
+            held.append(_flat(batch)[0])
+            size += len(held[-1])
+            if size > RARITY_VALUES:
+                yield from count(held)
+                held, size = [], 0
+        if held:
+            yield from count(held)
 
     table = np.zeros(1 << RARITY_BITS, np.uint8)
     counts = features.select("sketch").mapInArrow(run, "i int, c long").groupBy("i").agg(
@@ -154,11 +165,23 @@ def _lists(table: np.ndarray, num: int, den: int, retained: int):
     return run
 
 
+def _pack(u: np.ndarray) -> bytes:
+    """The upper 48 bits of each value: enough to tell the values of two sets
+    apart, and a quarter less to move."""
+    return np.unique(u >> np.uint64(16)).view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def _unpack(b) -> np.ndarray:
+    out = np.zeros((len(b) // 6, 8), np.uint8)
+    out[:, :6] = np.frombuffer(b, np.uint8).reshape(-1, 6)
+    return out.view(np.uint64).ravel()
+
+
 def _sets(k: int):
     def run(it):
         for batch in it:
             ids = batch.column("_d").to_pylist()
-            out = [(ids[i], u.tobytes()) for i, u in shingle_sets(blobs(batch), k)]
+            out = [(ids[i], _pack(u)) for i, u in shingle_sets(blobs(batch), k)]
             yield from batches({"_d": ([x[0] for x in out], pa.int64()), "s": ([x[1] for x in out], pa.binary())},
                                2000)
     return run
@@ -198,7 +221,7 @@ def _measure(num: int, den: int):
             x, y = batch.column("sa"), batch.column("sb")
             keep, na, nb, diff = [], [], [], []
             for i in range(batch.num_rows):
-                a, b = np.frombuffer(x[i].as_buffer(), np.uint64), np.frombuffer(y[i].as_buffer(), np.uint64)
+                a, b = _unpack(x[i].as_buffer()), _unpack(y[i].as_buffer())
                 both = np.sort(np.concatenate([a, b]))
                 twice = np.concatenate([[False], both[1:] == both[:-1], [False]])
                 inter = int(twice.sum())
@@ -228,14 +251,15 @@ def _measured(pairs: DataFrame, feats: DataFrame, texts: DataFrame, k: int, num:
               retained: int) -> DataFrame:
     """The pairs (a, b) whose full sets reach num / den, with sizes and
     differing values; the wider a column, the fewer pairs it moves for."""
-    sized = _with_both(pairs, feats, "n").filter(F.least("sa", "sb") * den >= F.greatest("sa", "sb") * num)
-    sized = materialize(sized.select("a", "b").distinct(), "sized_pairs")
-    sketches = only_ids(feats.select("_d", "sketch"), _ids(sized))
-    near = materialize(_with_both(sized, sketches, "sketch").mapInArrow(_estimate(num, den, retained),
-                                                                       "a long, b long").distinct(), "near_pairs")
-    sets = materialize(only_ids(texts, _ids(near)).mapInArrow(_sets(k), "_d long, s binary").distinct(), "sets")
-    run, schema = _measure(num, den)
-    return materialize(_with_both(near, sets, "s").mapInArrow(run, schema), "measured_pairs")
+    with scratch() as block:
+        sized = _with_both(pairs, feats, "n").filter(F.least("sa", "sb") * den >= F.greatest("sa", "sb") * num)
+        sized = materialize(sized.select("a", "b").distinct(), "sized_pairs")
+        sketches = only_ids(feats.select("_d", "sketch"), _ids(sized))
+        near = materialize(_with_both(sized, sketches, "sketch").mapInArrow(
+            _estimate(num, den, retained), "a long, b long").distinct(), "near_pairs")
+        sets = materialize(only_ids(texts, _ids(near)).mapInArrow(_sets(k), "_d long, s binary").distinct(), "sets")
+        run, schema = _measure(num, den)
+        return block.keep(materialize(_with_both(near, sets, "s").mapInArrow(run, schema), "measured_pairs"))
 
 
 def _reaches(num: int, den: int, na, nb, differing):
@@ -252,6 +276,11 @@ def _component_of(df: DataFrame, comp: DataFrame, col: str, name: str) -> DataFr
 def _links_by_difference(led: DataFrame, comp: DataFrame, num: int, den: int) -> DataFrame:
     """Links (a, b) between members of a leader's group that are not yet in
     one component.  ``led``: leader a, member b, na, nb, diff."""
+    with scratch() as block:
+        return block.keep(materialize(_difference_links(led, comp, num, den), "links"))
+
+
+def _difference_links(led: DataFrame, comp: DataFrame, num: int, den: int) -> DataFrame:
     placed = _component_of(_component_of(led, comp, "b", "cb"), comp, "a", "ca")
     open_ = (placed.groupBy("a")
              .agg((F.count("*") + 1).alias("m"), F.min("cb").alias("x"), F.max("cb").alias("y"), F.min("ca").alias("z"))
@@ -273,7 +302,9 @@ def _links_by_difference(led: DataFrame, comp: DataFrame, num: int, den: int) ->
     sized = sized.withColumn("score", (F.col("nd") * unit - F.col("nb") * (den - num)).cast("long"))
     best = sized.groupBy("a").agg(F.min_by(F.struct("b", "score"), F.struct("score", "b")).alias("o"))
     sized = materialize(sized.join(best, "a"), "difference_scores")
-    close = sized.filter("score + o.score <= 0 and b <> o.b").select("b", F.col("o.b").alias("y"))
+    close = materialize(sized.filter("score + o.score <= 0 and b <> o.b").select("b", F.col("o.b").alias("y")), "close")
+    # from here on all of these count as one component of the group
+    sized = sized.withColumn("cb", F.when(F.col("score") + F.col("o.score") <= 0, F.lit(-1)).otherwise(F.col("cb")))
     # prefix filter over the differences that others have too, rare ones first:
     # of two members the one with the lower score is indexed
     common = diff.groupBy("a", "v").agg(F.count("*").alias("c")).filter("c > 1")
@@ -332,39 +363,41 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """(_d, _h, n_shingles, comp): one row per row of ``docs``; ``comp`` is the
     smallest document (internal id) of its group under the links
     ``den * intersection >= num * union``."""
-    texts = keyed_texts(docs, id_col, text_col)
-    run, schema = _features(shingle, retained)
-    feats = materialize(texts.mapInArrow(run, schema), "sketches")
-    sig = ["n", "s1", "s2"]
-    classes = feats.filter("n > 0").groupBy(*sig).agg(F.min("_d").alias("c"))
-    member = materialize(feats.select("_d", "_h", *sig).join(classes, sig, "left")
-                         .select("_d", "_h", "n", F.coalesce("c", "_d").alias("c")), "classes")
-    reps = feats.select("_d", *sig, "sketch").join(classes, sig).filter("_d = c").select("c", "n", "sketch")
-    table = _rarity(feats)
-    keys = materialize(reps.mapInArrow(_lists(table, num, den, retained), "k long, c long"), "lists")
-
-    led, edges = _led(keys), []
-    for _ in range(ROUNDS):
-        pairs = led.filter("c <> lo").select(F.col("lo").alias("a"), F.col("c").alias("b")).distinct()
-        # partners of a member within CORE of the leader are within this reach of it
-        near = _measured(pairs, feats, texts, shingle, int((num / den - CORE) * 100), 100, retained)
-        edges.append(near.filter(_reaches(num, den, F.col("na"), F.col("nb"), F.size("diff"))).select("a", "b"))
-        comp = components(reduce(DataFrame.union, edges))
-        edges.append(materialize(_links_by_difference(near, comp, num, den), "links"))
-        comp = components(reduce(DataFrame.union, edges))
-        core = near.filter(_reaches(round(100 * (1 - CORE)), 100, F.col("na"), F.col("nb"), F.size("diff"))).select(
-            F.col("a").alias("lo"), F.col("b").alias("c")).distinct()
-        far = _far_members(led, core, comp)
-        work = _cross_size(far)
-        if work <= PLAIN * far.count():
-            break
-        led = _led(far.select("k", "c"))
-    if work:
-        pairs = materialize(_cross_pairs(far), "far_pairs")
-        edges.append(_measured(pairs, feats, texts, shingle, num, den, retained).select("a", "b"))
-        comp = components(reduce(DataFrame.union, edges))
-    return member.join(comp.withColumnRenamed("v", "c"), "c", "left").select(
-        "_d", "_h", F.col("n").cast("long").alias("n_shingles"), F.coalesce("comp", "c").alias("comp"))
+    with scratch() as block:
+        texts = keyed_texts(docs, id_col, text_col)
+        run, schema = _features(shingle, retained)
+        feats = materialize(texts.mapInArrow(run, schema), "sketches")
+        sig = ["n", "s1", "s2"]
+        classes = feats.filter("n > 0").groupBy(*sig).agg(F.min("_d").alias("c"))
+        member = materialize(feats.select("_d", "_h", *sig).join(classes, sig, "left")
+                             .select("_d", "_h", "n", F.coalesce("c", "_d").alias("c")), "classes")
+        reps = feats.select("_d", *sig, "sketch").join(classes, sig).filter("_d = c").select("c", "n", "sketch")
+        table = _rarity(feats)
+        keys = materialize(reps.mapInArrow(_lists(table, num, den, retained), "k long, c long"), "lists")
+
+        led, edges = _led(keys), []
+        for _ in range(ROUNDS):
+            pairs = led.filter("c <> lo").select(F.col("lo").alias("a"), F.col("c").alias("b")).distinct()
+            # partners of a member within CORE of the leader are within this reach of it
+            near = _measured(pairs, feats, texts, shingle, int((num / den - CORE) * 100), 100, retained)
+            edges.append(near.filter(_reaches(num, den, F.col("na"), F.col("nb"), F.size("diff"))).select("a", "b"))
+            comp = components(reduce(DataFrame.union, edges))
+            edges.append(_links_by_difference(near, comp, num, den))
+            comp = components(reduce(DataFrame.union, edges))
+            core = near.filter(_reaches(round(100 * (1 - CORE)), 100, F.col("na"), F.col("nb"), F.size("diff"))).select(
+                F.col("a").alias("lo"), F.col("b").alias("c")).distinct()
+            far = _far_members(led, core, comp)
+            work = _cross_size(far)
+            if work <= PLAIN * far.count():
+                break
+            led = _led(far.select("k", "c"))
+        if work:
+            pairs = materialize(_cross_pairs(far), "far_pairs")
+            edges.append(_measured(pairs, feats, texts, shingle, num, den, retained).select("a", "b"))
+            comp = components(reduce(DataFrame.union, edges))
+        out = member.join(comp.withColumnRenamed("v", "c"), "c", "left").select(
+            "_d", "_h", F.col("n").cast("long").alias("n_shingles"), F.coalesce("comp", "c").alias("comp"))
+        return block.keep(materialize(out, "near_duplicate_groups"))
 
 
 def report(docs: DataFrame, **options) -> DataFrame:

@@ -89,6 +89,27 @@ def host_rates(judged: DataFrame) -> DataFrame:
     return hosts.withColumn("rate", (F.col("f") + k * mean) / (F.col("n") + k))
 
 
+def _base_failed(q: Column, min_words: int, max_repeat_pct: int) -> Column:
+    return (q["n_words"] < min_words) | (100 * q["n_repeat_words"] > max_repeat_pct * q["n_words"])
+
+
+def _strict_failed(q: Column) -> Column:
+    return ((100 * q["n_repeat_words"] > STRICT_REPEAT_PCT * q["n_words"])
+            | (100 * q["n_symbols"] > STRICT_SYMBOL_PCT * q["word_chars"]) | (q["n_dup_lines"] > 0))
+
+
+def _host(host_col: str) -> Column:
+    host = F.col(host_col).cast("string")
+    return F.when(host != "", host)
+
+
+def _with_verdict(judged: DataFrame, rates: DataFrame, host_max_rate: float) -> DataFrame:
+    """Join the hosts' rates back and decide."""
+    bad_host = F.coalesce(F.col("__q_rate") > host_max_rate, F.lit(False))
+    return (judged.join(rates.select("__q_host", F.col("rate").alias("__q_rate")), "__q_host", "left")
+            .withColumn("__q_kept", ~F.col("__q_failed") & ~(bad_host & _strict_failed(F.col("__q")))))
+
+
 def judge(docs: DataFrame, text_col: str = "text", host_col: str = "source",
           carry: list[str] | None = None, min_words: int = MIN_WORDS,
           max_repeat_pct: int = MAX_REPEAT_PCT, host_max_rate: float = HOST_MAX_RATE) -> DataFrame:
@@ -96,22 +117,22 @@ def judge(docs: DataFrame, text_col: str = "text", host_col: str = "source",
     ``__q_failed`` (base rule), ``__q_rate`` (shrunk failure rate of the host,
     null without host) and ``__q_kept``.  The texts are read once: signals
     and carried columns are written to the shared scratch folder."""
-    q = F.col("__q")
-    failed = (q["n_words"] < min_words) | (100 * q["n_repeat_words"] > max_repeat_pct * q["n_words"])
-    host = F.col(host_col).cast("string")
     carry = docs.columns if carry is None else carry
-    one = docs.select(*[docs[c] for c in carry],
-                      F.when(host != "", host).alias("__q_host"), signals(F.col(text_col)).alias("__q"))
-    one = materialize(one.withColumn("__q_failed", failed), "quality_signals")
-    hosts = host_rates(one).select("__q_host", F.col("rate").alias("__q_rate"))
-    strict = ((100 * q["n_repeat_words"] > STRICT_REPEAT_PCT * q["n_words"])
-              | (100 * q["n_symbols"] > STRICT_SYMBOL_PCT * q["word_chars"]) | (q["n_dup_lines"] > 0))
-    bad_host = F.coalesce(F.col("__q_rate") > host_max_rate, F.lit(False))
-    return (one.join(hosts, "__q_host", "left")
-            .withColumn("__q_kept", ~F.col("__q_failed") & ~(bad_host & strict)))
-
-
-def filter_documents(docs: DataFrame, **options) -> DataFrame:
-    """The documents that both the base rule and the host rule keep."""
-    columns = docs.columns
-    return judge(docs, **options).filter("__q_kept").select(*columns)
+    one = docs.select(*[docs[c] for c in carry], _host(host_col).alias("__q_host"),
+                      signals(F.col(text_col)).alias("__q"))
+    one = one.withColumn("__q_failed", _base_failed(F.col("__q"), min_words, max_repeat_pct))
+    one = materialize(one, "quality_signals")
+    return _with_verdict(one, host_rates(one), host_max_rate)
+
+
+def filter_documents(docs: DataFrame, text_col: str = "text", host_col: str = "source", min_words: int = MIN_WORDS,
+                     max_repeat_pct: int = MAX_REPEAT_PCT, host_max_rate: float = HOST_MAX_RATE) -> DataFrame:
+    """The documents that both the base rule and the host rule keep.  The
+    signals are computed twice, for the hosts and for the verdicts, so that
+    no second copy of the texts is written."""
+    def judged(*columns: str) -> DataFrame:
+        d = docs.select(*columns, _host(host_col).alias("__q_host"), signals(F.col(text_col)).alias("__q"))
+        return d.withColumn("__q_failed", _base_failed(F.col("__q"), min_words, max_repeat_pct))
+
+    rates = host_rates(judged())
+    return _with_verdict(judged(*docs.columns), rates, host_max_rate).filter("__q_kept").select(*docs.columns)
