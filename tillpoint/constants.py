@@ -101,8 +101,6 @@ ROLLING_FAILURE_COUNT = 5
 
 # Micro-batch ingest: flush every 5 s or 200 records; refresh loop 250 s.
 FLUSH_SECONDS = 5
-FLUSH_RECORDS = 200
-REFRESH_SECONDS = 250
 
 # Payment-channel risk classes.
 PAYMENT_RISK = [

@@ -102,21 +102,26 @@ def validate_sales(lines: DataFrame, strict_item_id: bool = True) -> DataFrame:
     total parses, every payment amount parses.
     """
     a = sale_aggregate(lines, strict_item_id)
-    pays = S.parse_payments("payment_type")
-    dt = S.parse_datetime_multi("invoice_datetime")
-    total = S.parse_money("invoice_total")
+    # stages: a parse that several results use is a column of its own, and the
+    # error list is one column behind both ``accepted`` and ``reasons``
+    a = (a.withColumn("_pays", S.parse_payments("payment_type"))
+         .withColumn("_dt", S.parse_datetime_multi("invoice_datetime"))
+         .withColumn("_total", S.parse_money("invoice_total"))
+         .withColumn("_person", S.clean_text("salesperson")))
+    pays, dt, total = F.col("_pays"), F.col("_dt"), F.col("_total")
     bad_pay = F.exists(pays, lambda p: S.parse_money(p["amount"]).isNull())
     checks = [
-        S.clean_text("salesperson").isNull(), dt.isNull(), total.isNull(),
+        F.col("_person").isNull(), dt.isNull(), total.isNull(),
         F.col("n_bad_item_id") > 0, F.col("n_bad_price") > 0, F.col("n_bad_qty") > 0,
         F.col("n_bad_total") > 0, bad_pay,
     ]
-    errs = F.filter(F.array(*[F.when(c, F.lit(r)) for c, r in zip(checks, REASONS)]),
-                    lambda x: x.isNotNull())
+    a = a.withColumn("_errs", F.filter(F.array(*[F.when(c, F.lit(r)) for c, r in zip(checks, REASONS)]),
+                                       lambda x: x.isNotNull()))
+    errs = F.col("_errs")
     cust = S.clean_text("customer_name")
     return a.select(
         "sale_id", dt.alias("invoice_datetime"),
-        S.clean_text("salesperson").alias("salesperson"),
+        F.col("_person").alias("salesperson"),
         S.default_customer_name("customer_name").alias("customer_name"),
         S.is_anonymous(cust).alias("is_anonymous_customer"),
         total.alias("invoice_total"),

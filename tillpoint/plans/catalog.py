@@ -588,16 +588,13 @@ _RISK = """CASE WHEN contains(upper(channel), 'STORE ACCOUNT') THEN 'HIGH'
 
 @register("payment_mix", with_(_HDR) + f"""
 , p AS (SELECT sale_id, x.channel AS channel, {parse_money('x.amount')} AS amount
-        FROM (SELECT sale_id, unnest({payments('payment_type')}) AS x FROM hdr
-              WHERE invoice_datetime >= TIMESTAMP '{SI.REPORT_START}') t)
+        FROM (SELECT sale_id, unnest({payments('payment_type')}) AS x FROM hdr) t)
 SELECT channel, COUNT(DISTINCT sale_id) AS transactions, {money('amount')} AS revenue,
        {div(money('amount'), f"(SELECT {money('amount')} FROM p WHERE amount > 0)")} AS share,
        {_RISK} AS risk
 FROM p WHERE amount > 0 GROUP BY channel""")
 def q_payment_mix(spark, sf):
-    h = headers(spark, sf).filter(F.col("invoice_datetime") >= F.lit(SI.REPORT_START)
-                                  .cast("timestamp_ntz"))
-    return R.payment_mix(h)
+    return R.payment_mix(headers(spark, sf))
 
 
 # =============================================================== comparisons
@@ -966,16 +963,24 @@ MESSAGE_SCHEMA = ("pos_sale_id string, customer_name string, salesperson string,
 
 def messages(spark, sf, v=None):
     """Envelopes as they arrive from the queue: a sale whose returns
-    exceed its sales arrives cut short (undecodable)."""
+    exceed its sales arrives cut short (undecodable), one with a multiple of
+    seven items has a broken object between sound braces (undecodable), and
+    one that leaves a remainder of one has line breaks (decodable)."""
     out = envelopes(spark, sf, keep=("items_net",), v=v)
     return out.select(F.col("pos_sale_id").alias("source_id"),
                     F.when(F.col("items_net") < 0, F.substring("payload", 1, 20))
+                    .when(F.col("items_net") % 7 == 0,
+                          F.concat(F.lit('{"pos_sale_id": "'), "pos_sale_id", F.lit('", oops}')))
+                    .when(F.col("items_net") % 7 == 1, F.concat(F.lit("{\n"), F.substr("payload", F.lit(2)), F.lit("\n")))
                     .otherwise(F.col("payload")).alias("payload"))
 
 
 _MSG_SQL = _ENV_SQL + """
 , msg AS (SELECT CAST(pos_sale_id AS VARCHAR) AS source_id,
-   CASE WHEN items_net < 0 THEN substr(CAST(payload AS VARCHAR), 1, 20) ELSE CAST(payload AS VARCHAR) END AS payload FROM env)
+   CASE WHEN items_net < 0 THEN substr(CAST(payload AS VARCHAR), 1, 20)
+        WHEN items_net % 7 = 0 THEN '{"pos_sale_id": "' || CAST(pos_sale_id AS VARCHAR) || '", oops}'
+        WHEN items_net % 7 = 1 THEN '{' || chr(10) || substr(CAST(payload AS VARCHAR), 2) || chr(10)
+        ELSE CAST(payload AS VARCHAR) END AS payload FROM env)
 """
 
 
@@ -991,8 +996,13 @@ def q_message_decode(spark, sf):
                     F.when(F.col("_ok"), F.col("_msg._meta.node_id")).alias("node_id"))
 
 
+LETTER_FIELDS = ["sale_id", "salesperson", "customer_name", "comment", "items_sold", "items_returned",
+                 "reasons"]
+_LETTER_SQL = ", ".join(f"{c} := CAST({c} AS VARCHAR)" for c in LETTER_FIELDS)
+
+
 @register("dead_letter", _MSG_SQL + f"""
-SELECT 'validation' AS source, reasons AS payload, sale_id AS pos_sale_id,
+SELECT 'validation' AS source, CAST(to_json(struct_pack({_LETTER_SQL})) AS VARCHAR) AS payload, sale_id AS pos_sale_id,
        'node-' || CAST({stable_shard('sale_id', SHARDS)} AS VARCHAR) AS node_id
 FROM validated WHERE NOT accepted
 UNION ALL
@@ -1002,7 +1012,7 @@ def q_dead_letter(spark, sf):
     # same validation: build it once
     v_all = materialize(validated(spark, sf), "validated")
     v = v_all.filter(~F.col("accepted"))
-    a = TB.dead_letters(v, F.col("reasons"), "sale_id",
+    a = TB.dead_letters(v, TB.record_json(LETTER_FIELDS), "sale_id",
                         F.concat(F.lit("node-"), S.stable_shard("sale_id", SHARDS).cast("string")))
     d = TB.decode(messages(spark, sf, v_all), MESSAGE_SCHEMA).filter(~F.col("_ok"))
     b = TB.dead_letters(d, F.col("payload"), "source_id")
