@@ -78,4 +78,47 @@ QUERIES = {f.__name__: f for f in (
     op1_quality_rules, op2_suffix_array_dedup, op3_mixing_sources, op4_substring_dedup, op5_minhash_near_dedup,
     op6_quality_classifier, op7_benchmark_decontamination, op8_url_filters, op9_language_id, op10_pii)}
 
-ORACLE: dict[str, str] = {}
+_WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
+
+ORACLE: dict[str, str] = {
+    "op1_quality_rules": rf"""
+WITH w AS (SELECT doc_id, source, coalesce(text, '') AS t, {_WORDS} AS ws FROM documents),
+win AS (SELECT doc_id, i, list_slice(ws, i, i + 7) AS g
+        FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 6)) AS i FROM w WHERE len(ws) > 8) u),
+twice AS (SELECT doc_id, g FROM win GROUP BY doc_id, g HAVING count(*) > 1),
+pos AS (SELECT DISTINCT doc_id, unnest(range(i, i + 8)) AS p FROM win JOIN twice USING (doc_id, g)),
+cov AS (SELECT doc_id, count(*) AS n FROM pos GROUP BY doc_id),
+lines AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS l FROM w),
+dup AS (SELECT doc_id, count(*) - count(DISTINCT l) AS n FROM lines
+        WHERE regexp_matches(l, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+q AS (SELECT w.doc_id, source, CAST(len(ws) AS BIGINT) AS n_words,
+        CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars,
+        CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+        CAST(coalesce(dup.n, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(cov.n, 0) AS BIGINT) AS n_repeat_words
+      FROM w LEFT JOIN cov USING (doc_id) LEFT JOIN dup USING (doc_id)),
+j AS (SELECT *, n_words < {quality_rules.MIN_WORDS}
+        OR 100 * n_repeat_words > {quality_rules.MAX_REPEAT_PCT} * n_words AS base_failed FROM q),
+h AS (SELECT source, count(*) AS n, sum(CAST(base_failed AS INT)) AS f FROM j
+      WHERE source IS NOT NULL AND source <> '' GROUP BY source),
+m AS (SELECT sum(f) / sum(n) AS m, sum(n * (f / n) * (f / n)) / sum(n) - (sum(f) / sum(n)) * (sum(f) / sum(n)) AS v
+      FROM h),
+k AS (SELECT m, CASE WHEN v > 0 THEN least(1e6, greatest(1.0, m * (1 - m) / v - 1)) ELSE 1e6 END AS k FROM m),
+r AS (SELECT source, (f + k * m) / (n + k) AS rate FROM h, k)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND NOT (coalesce(rate > {quality_rules.HOST_MAX_RATE}, false)
+    AND (100 * n_repeat_words > {quality_rules.STRICT_REPEAT_PCT} * n_words
+         OR 100 * n_symbols > {quality_rules.STRICT_SYMBOL_PCT} * word_chars OR n_dup_lines > 0)) AS kept
+FROM j LEFT JOIN r USING (source)""",
+    "op4_substring_dedup": rf"""
+WITH w AS (SELECT doc_id, {_WORDS} AS ws FROM documents),
+win AS (SELECT doc_id, i, array_to_string(list_slice(ws, i, i + 34), ' ') AS g
+        FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 33)) AS i FROM w WHERE len(ws) > 34) u),
+twice AS (SELECT g FROM win GROUP BY g HAVING count(*) > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS p FROM win JOIN twice USING (g)),
+word AS (SELECT doc_id, unnest(range(1, len(ws) + 1)) AS p, unnest(ws) AS x FROM w),
+kept AS (SELECT doc_id, count(*) AS n, string_agg(x, ' ' ORDER BY p) AS t FROM word ANTI JOIN gone USING (doc_id, p)
+         GROUP BY doc_id)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(t, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)""",
+}

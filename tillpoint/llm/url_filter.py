@@ -8,7 +8,8 @@ order's estimate smoothed into the next lower one by the Witten-Bell rule.
 URLs without a rule are judged by the difference of both log-likelihoods by
 character; those below the threshold are blocked.  The threshold is calibrated
 on a fifth of the examples that the models have not seen: the largest one that
-blocks at most ``max_false_pct`` percent of the accepted examples.
+blocks at most ``max_false_pct`` percent of the accepted examples, but not above
+0, where a URL is as likely among the accepted as among the rejected ones.
 
 The models' counts come from all examples; contexts are hashed to a fixed
 number of places and characters to 64 classes, so the counts that go to the
@@ -138,15 +139,12 @@ def _threshold(scored: DataFrame, max_false_pct: float) -> float:
     """From the binned scores of the accepted examples kept back."""
     b = F.floor((F.greatest(F.lit(-SPAN), F.least(F.lit(SPAN), F.col("s"))) + SPAN) * (BINS / (2 * SPAN)))
     rows = scored.filter("y = 1").groupBy(b.cast("int").alias("b")).count().collect()     # at most BINS + 1
-    total, below, best = sum(r["count"] for r in rows), 0, -SPAN
+    total, below = sum(r["count"] for r in rows), 0
     for r in sorted(rows):
         below += r["count"]
         if below * 100 > max_false_pct * total:
-            break
-        best = -SPAN + (r["b"] + 1) * (2 * SPAN / BINS)
-    else:
-        best = 0.0
-    return min(best, 0.0) if not rows else best
+            return min(0.0, -SPAN + r["b"] * (2 * SPAN / BINS))
+    return 0.0
 
 
 def judge(pages: DataFrame, rules: list[tuple[str, str]], id_col: str = "page_id", url_col: str = "url",
