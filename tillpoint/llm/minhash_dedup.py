@@ -316,10 +316,15 @@ def _difference_links(led: DataFrame, comp: DataFrame, num: int, den: int) -> Da
     def prefix(needed):
         return ranked.filter(F.col("r") <= F.col("q") - F.greatest(F.lit(1), F.ceil(needed / (2 * unit))) + 1)
 
-    index = prefix(2 * F.col("score")).select("a", "v", "b", "cb", "score")
+    # left: how many differences can be shared from this one on; for the first
+    # shared one of a linked pair that is enough
+    left = (F.col("q") - F.col("r") + 1).alias("left")
+    index = prefix(2 * F.col("score")).select("a", "v", "b", "cb", "score", left)
     probe = prefix(F.col("score") + F.col("o.score")).select(
-        "a", "v", *[F.col(c).alias(c + "1") for c in ("b", "cb", "score")])
-    cand = (index.join(probe, ["a", "v"]).filter("cb <> cb1 and (score < score1 or (score = score1 and b < b1))")
+        "a", "v", *[F.col(c).alias(c + "1") for c in ("b", "cb", "score")], left.alias("left1"))
+    cand = (index.join(probe, ["a", "v"])
+            .filter("cb <> cb1 and (score < score1 or (score = score1 and b < b1))")
+            .filter(2 * unit * F.least("left", "left1") >= F.col("score") + F.col("score1"))
             .select("a", "b", "b1", (F.col("score") + F.col("score1")).alias("need")).distinct())
     lists = ranked.groupBy("a", "b").agg(F.collect_list("v").alias("vs"))      # at most a set's size
     cand = cand.join(lists, ["a", "b"]).join(lists.toDF("a", "b1", "vs1"), ["a", "b1"])
