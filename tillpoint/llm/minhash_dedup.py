@@ -54,7 +54,7 @@ from tillpoint.llm.hashing import mix, sequence_hash, shingle_hashes, word_chunk
 RETAINED = 96                # values in a sketch
 RARITY_BITS = 22             # the rarity table has 2^22 one-byte counts
 RARITY_VALUES = 2_500_000    # counted at once
-CORE = 0.35                  # distance from the leader up to which differences are used
+CORE = 0.40                  # distance from the leader up to which differences are used
 ROUNDS = 2                   # leaders by list, one after the other, while lists stay long
 PLAIN = 4                    # pairs by listed member at which lists count as short
 MISS = 1e-10                 # chance that a pair at the threshold shares no listed value
