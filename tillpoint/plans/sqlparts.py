@@ -62,7 +62,9 @@ SHEET = f"""sheet AS (
     CASE WHEN o.o_orderstatus = 'P' AND o.o_orderpriority = '5-LOW' THEN 'pending'
          ELSE strftime(o.o_orderdate + to_hours(CAST(l.l_orderkey % 12 + 8 AS BIGINT)), '%m/%d/%Y-%I:%M %p') END AS invoice_datetime,
     CASE WHEN s.s_acctbal < 0 THEN '  ' ELSE ' ' || s.s_name || '  ' END AS salesperson,
-    CASE WHEN c.c_mktsegment = 'BUILDING' THEN 'INDOOR' ELSE c.c_name END AS customer_name,
+    CASE WHEN c.c_mktsegment = 'BUILDING' THEN 'INDOOR'
+         WHEN c.c_mktsegment = 'MACHINERY' AND c.c_acctbal < 0 THEN substr(c.c_name, 1, 1) || substr(c.c_name, 3)
+         ELSE c.c_name END AS customer_name,
     {PAYMENT_TEXT} AS payment_type, o.o_orderstatus AS comment,
     CAST(o.o_custkey AS VARCHAR) AS pos_customer_id,
     CASE WHEN p.p_size = 1 THEN '' ELSE CAST(l.l_partkey AS VARCHAR) END AS pos_item_id,

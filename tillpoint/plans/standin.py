@@ -51,6 +51,11 @@ def payment_text(priority, totalprice, custkey):
     return F.concat(main, change)
 
 
+def misspelt(name):
+    """A name as typed in haste: without its second letter."""
+    return F.concat(F.substring(name, 1, 1), F.substr(name, F.lit(3)))
+
+
 def driver_lines(spark: SparkSession, sf_dir: str, need=("category", "customer",
                  "salesperson")) -> DataFrame:
     need = set(need)
@@ -117,14 +122,15 @@ def driver_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
     first lines, ``MM/dd/yyyy-hh:mm a`` dates (a placeholder text on pending
     low-priority orders), salespeople padded with spaces (blank when the
     supplier balance is negative), walk-in customers named ``INDOOR``
-    (building segment), ``Discount`` lines (10 % discount), returns as
+    (building segment), names without their second letter (machinery segment
+    with a negative balance), ``Discount`` lines (10 % discount), returns as
     negative quantities (flag R), a non-numeric quantity (part size 2), a
     blank item id (part size 1), ``N``/``₦`` money text.
     """
     li = table(spark, sf_dir, "lineitem")
     o = table(spark, sf_dir, "orders")
     p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_size")
-    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_acctbal")
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_acctbal")
     df = li.join(o, li.l_orderkey == o.o_orderkey) \
         .join(p, li.l_partkey == p.p_partkey) \
@@ -143,6 +149,7 @@ def driver_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("s_acctbal") < 0, F.lit("  "))
         .otherwise(F.concat(F.lit(" "), F.col("s_name"), F.lit("  "))).alias("salesperson"),
         F.when(F.col("c_mktsegment") == "BUILDING", F.lit("INDOOR"))
+        .when((F.col("c_mktsegment") == "MACHINERY") & (F.col("c_acctbal") < 0), misspelt(F.col("c_name")))
         .otherwise(F.col("c_name")).alias("customer_name"),
         payment_text(F.col("o_orderpriority"), F.col("o_totalprice"), F.col("o_custkey"))
         .alias("payment_type"),
