@@ -1047,7 +1047,17 @@ def q_customer_resolve_fuzzy(spark, sf):
         F.coalesce("_ref_id", F.lit(KC.DEFAULT_CUSTOMER_ID)).alias("pos_customer_id"))
 
 
-@register("payment_account")
+@register("payment_account", with_(_HDR) + f"""
+, p AS (SELECT sale_id, CAST(i - 1 AS INTEGER) AS pos, pays[i].channel AS channel, pays[i].amount AS amount
+  FROM (SELECT sale_id, {payments('payment_type')} AS pays FROM hdr) t, range(1, len(pays) + 1) r(i)),
+a AS (SELECT *, CASE WHEN contains(channel, 'STORE ACCOUNT') THEN 'STANBIC IBTC BANK'
+    WHEN channel = 'ACCESS BANK' THEN 'ACCESS BANK' WHEN channel = 'MONIEPOINT' THEN 'MONIEPOINT MFB'
+    WHEN channel = 'STANBIC IBTC' THEN 'STANBIC IBTC BANK' WHEN channel = 'CASH' THEN 'CASH PAYMENT' END AS account
+  FROM p),
+h AS (SELECT *, md5(account) AS x FROM a WHERE account IS NOT NULL)
+SELECT sale_id, pos, channel, account, substr(x, 1, 8) || '-' || substr(x, 9, 4) || '-' || substr(x, 13, 4)
+  || '-' || substr(x, 17, 4) || '-' || substr(x, 21, 12) AS account_id,
+  CAST({parse_money('amount')} AS DOUBLE) AS amount FROM h""")
 def q_payment_account(spark, sf):
     """J2 + J5 + F16: payment channel -> best settlement account (fixed list
     of four, >= 90) -> store-account reroute -> account id; payments with

@@ -23,7 +23,10 @@ def div(a: str, b: str) -> str:
             f"ELSE CAST({a} AS DOUBLE) / CAST({b} AS DOUBLE) END)")
 
 
-PAYMENT_TEXT = ("o.o_orderpriority || ': N' || CAST(CAST(o.o_totalprice AS DECIMAL(18,2)) AS VARCHAR)"
+PAYMENT_TEXT = ("CASE o.o_orderpriority WHEN '1-URGENT' THEN 'Access Bank' WHEN '2-HIGH' THEN 'Moniepoint'"
+                " WHEN '3-MEDIUM' THEN 'Stanbic IBTC' WHEN '4-NOT SPECIFIED' THEN 'Store Account'"
+                " WHEN '5-LOW' THEN 'Trade By Barter' ELSE o.o_orderpriority END"
+                " || ': N' || CAST(CAST(o.o_totalprice AS DECIMAL(18,2)) AS VARCHAR)"
                 " || CASE WHEN o.o_custkey % 5 = 0 THEN ' Cash: --N' || CAST(o.o_custkey AS VARCHAR)"
                 " ELSE '' END")
 

@@ -43,9 +43,14 @@ LINE_COLS = ["sale_id", "invoice_datetime", "salesperson", "customer_name",
 
 
 def payment_text(priority, totalprice, custkey):
-    """Payment text of an order: ``<priority>: N<total>`` plus, for every
-    fifth customer, a change line ``Cash: --N<custkey>``."""
-    main = F.concat(priority, F.lit(": N"), totalprice.cast("decimal(18,2)").cast("string"))
+    """Payment text of an order: ``<channel>: N<total>`` with one channel for
+    each order priority plus, for every fifth customer, a change line
+    ``Cash: --N<custkey>``."""
+    channel = priority
+    for p, name in (("1-URGENT", "Access Bank"), ("2-HIGH", "Moniepoint"), ("3-MEDIUM", "Stanbic IBTC"),
+                    ("4-NOT SPECIFIED", "Store Account"), ("5-LOW", "Trade By Barter")):
+        channel = F.when(priority == p, name).otherwise(channel)
+    main = F.concat(channel, F.lit(": N"), totalprice.cast("decimal(18,2)").cast("string"))
     change = F.when(custkey % 5 == 0, F.concat(F.lit(" Cash: --N"), custkey.cast("string"))) \
         .otherwise(F.lit(""))
     return F.concat(main, change)
