@@ -129,7 +129,7 @@ def validate_sales(lines: DataFrame, strict_item_id: bool = True) -> DataFrame:
         "items_sold", "items_returned",
         (F.col("items_sold") - F.col("items_returned")).alias("items_net"),
         S.clean_text("comment").alias("comment"),
-        F.col("pos_customer_id"),
+        F.col("pos_customer_id"), pays.alias("payments"),
         (F.size(errs) == 0).alias("accepted"), F.concat_ws(",", errs).alias("reasons"))
 
 

@@ -1047,17 +1047,20 @@ def q_customer_resolve_fuzzy(spark, sf):
         F.coalesce("_ref_id", F.lit(KC.DEFAULT_CUSTOMER_ID)).alias("pos_customer_id"))
 
 
-@register("payment_account", with_(_HDR) + f"""
-, p AS (SELECT sale_id, CAST(i - 1 AS INTEGER) AS pos, pays[i].channel AS channel, pays[i].amount AS amount
+_PAID = f""", p AS (SELECT sale_id, CAST(i - 1 AS INTEGER) AS pos, pays[i].channel AS channel, pays[i].amount AS amount
   FROM (SELECT sale_id, {payments('payment_type')} AS pays FROM hdr) t, range(1, len(pays) + 1) r(i)),
 a AS (SELECT *, CASE WHEN contains(channel, 'STORE ACCOUNT') THEN 'STANBIC IBTC BANK'
     WHEN channel = 'ACCESS BANK' THEN 'ACCESS BANK' WHEN channel = 'MONIEPOINT' THEN 'MONIEPOINT MFB'
     WHEN channel = 'STANBIC IBTC' THEN 'STANBIC IBTC BANK' WHEN channel = 'CASH' THEN 'CASH PAYMENT' END AS account
   FROM p),
-h AS (SELECT *, md5(account) AS x FROM a WHERE account IS NOT NULL)
-SELECT sale_id, pos, channel, account, substr(x, 1, 8) || '-' || substr(x, 9, 4) || '-' || substr(x, 13, 4)
+h AS (SELECT *, md5(account) AS x FROM a WHERE account IS NOT NULL),
+paid AS (SELECT sale_id, pos, channel, account, substr(x, 1, 8) || '-' || substr(x, 9, 4) || '-' || substr(x, 13, 4)
   || '-' || substr(x, 17, 4) || '-' || substr(x, 21, 12) AS account_id,
-  CAST({parse_money('amount')} AS DOUBLE) AS amount FROM h""")
+  CAST({parse_money('amount')} AS DOUBLE) AS amount FROM h)
+"""
+
+
+@register("payment_account", with_(_HDR) + _PAID + "SELECT * FROM paid")
 def q_payment_account(spark, sf):
     """J2 + J5 + F16: payment channel -> best settlement account (fixed list
     of four, >= 90) -> store-account reroute -> account id; payments with
@@ -1073,6 +1076,22 @@ def q_payment_account(spark, sf):
                      S.parse_money("amount").cast("double").alias("amount"))
 
 
+@register("replace_payments", _DB + f", {_HDR}" + _PAID + """
+, pay AS (SELECT sale_id AS pos_sale_id, account, account_id, amount FROM paid)
+SELECT * FROM pay WHERE pos_sale_id IN (SELECT pos_sale_id FROM target)
+  AND pos_sale_id NOT IN (SELECT pos_sale_id FROM incoming)
+UNION ALL
+SELECT * FROM pay WHERE pos_sale_id IN (SELECT pos_sale_id FROM incoming) AND amount > 0""")
+def q_replace_payments(spark, sf):
+    """S7/N-3: the payments of the incoming sales replace those in the table."""
+    target, incoming = upsert_inputs(spark, sf)
+    sales = headers(spark, sf).select("sale_id", S.parse_payments("payment_type").alias("payments"))
+    paid = RV.payment_table_rows(RV.payment_rows(sales, RV.account_table(spark))[0])
+    return TB.replace_children(
+        paid.join(target.select("pos_sale_id"), "pos_sale_id", "left_semi"), incoming,
+        paid.join(incoming.select("pos_sale_id"), "pos_sale_id", "left_semi").filter("amount > 0"))
+
+
 # =============================================================== sources and streams (rows-only)
 import uuid  # noqa: E402
 
