@@ -27,8 +27,10 @@ smallest hashes of the set are its bottom-k sketch.
 5. Members far from their leader form shorter lists with leaders of their own
    (steps 3 and 4 again, up to ROUNDS times while the lists are long).  What
    is then far is compared pair by pair: in each list those outside the
-   largest component with those of other components.  Pairs inside one
-   component need no test, so the components are exact.
+   largest component with those of other components.  A pair is made in the
+   first list that both are in, and only if their positions in it leave room
+   for the threshold.  Pairs inside one component need no test, so the
+   components are exact.
 
 Null and empty texts have an empty set and are linked with nothing; a text
 with fewer words than a shingle has its whole sequence as one shingle.
@@ -161,8 +163,9 @@ def _lists(table: np.ndarray, num: int, den: int, retained: int):
             rank = np.arange(len(flat)) - np.repeat(np.cumsum(lens) - lens, lens)
             take = order[rank < want[row]]
             yield from batches({"k": (flat[take].view(np.int64), pa.int64()),
-                                "c": (batch.column("c").to_numpy()[row[take]], pa.int64())})
-    return run
+                                "c": (batch.column("c").to_numpy()[row[take]], pa.int64()),
+                                "r": (rank[rank < want[row]].astype(np.int16), pa.int16())})
+    return run, "k long, c long, r short"
 
 
 def _pack(u: np.ndarray) -> bytes:
@@ -355,12 +358,27 @@ def _cross_size(members: DataFrame) -> int:
     return n.agg(F.sum(F.col("n") * F.col("o"))).first()[0] or 0
 
 
-def _cross_pairs(members: DataFrame) -> DataFrame:
+def _cross_pairs(members: DataFrame, lists: DataFrame, feats: DataFrame, num: int, den: int,
+                 retained: int) -> DataFrame:
     """Members outside a list's largest component with members of other
-    components."""
-    rest = members.filter("comp <> main").select("k", F.col("c").alias("x"), F.col("comp").alias("cx"))
-    cross = rest.join(members, "k").filter("comp <> cx and (comp = main or x < c)")
-    return cross.select(F.least("x", "c").alias("a"), F.greatest("x", "c").alias("b")).distinct()
+    components, once for each pair: in the list of the first value that both
+    are listed under.  Where that list has lost one of them, the pair needs no
+    test (the one was near a leader, or both were in one component).  What
+    either has before that value the other lacks, so sets that are retained
+    whole must reach the threshold with that many differing values."""
+    own = (lists.join(members.select("c").distinct(), "c", "left_semi")
+           .groupBy("c").agg(F.sort_array(F.collect_list(F.struct("r", "k")))["k"].alias("ls")))   # at most ``retained``
+    sizes = feats.select(F.col("_d").alias("c"), "n").distinct()
+    known = materialize(members.join(own, "c").join(sizes, "c")
+                        .withColumn("r", F.array_position("ls", F.col("k")) - 1), "far_lists")
+    rest = known.filter("comp <> main").select(
+        "k", *[F.col(x).alias(x + "1") for x in ("c", "comp", "n", "ls", "r")])
+    differing = F.when(F.greatest("n", "n1") <= retained, F.col("r") + F.col("r1")).otherwise(
+        F.greatest("n", "n1") - F.least("n", "n1"))
+    cross = (rest.join(known, "k").filter("comp1 <> comp and (comp = main or c1 < c)")
+             .filter(_reaches(num, den, F.col("n"), F.col("n1"), differing))
+             .filter(F.array_intersect("ls", "ls1")[0] == F.col("k")))
+    return cross.select(F.least("c1", "c").alias("a"), F.greatest("c1", "c").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5,
@@ -378,7 +396,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                              .select("_d", "_h", "n", F.coalesce("c", "_d").alias("c")), "classes")
         reps = feats.select("_d", *sig, "sketch").join(classes, sig).filter("_d = c").select("c", "n", "sketch")
         table = _rarity(feats)
-        keys = materialize(reps.mapInArrow(_lists(table, num, den, retained), "k long, c long"), "lists")
+        keys = materialize(reps.mapInArrow(*_lists(table, num, den, retained)), "lists")
 
         led, edges = _led(keys), []
         for _ in range(ROUNDS):
@@ -397,7 +415,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 break
             led = _led(far.select("k", "c"))
         if work:
-            pairs = materialize(_cross_pairs(far), "far_pairs")
+            pairs = materialize(_cross_pairs(far, keys, feats, num, den, retained), "far_pairs")
             edges.append(_measured(pairs, feats, texts, shingle, num, den, retained).select("a", "b"))
             comp = components(reduce(DataFrame.union, edges))
         out = member.join(comp.withColumnRenamed("v", "c"), "c", "left").select(
