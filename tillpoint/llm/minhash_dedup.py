@@ -28,7 +28,7 @@ smallest hashes of the set are its bottom-k sketch.
    (steps 3 and 4 again, up to ROUNDS times while the lists are long).  What
    is then far is compared pair by pair: in each list those outside the
    largest component with those of other components.  A pair is made in the
-   first list that both are in, and only if their positions in it leave room
+   first list that both are in, and only if positions and sketches leave room
    for the threshold.  Pairs inside one component need no test, so the
    components are exact.
 
@@ -190,12 +190,18 @@ def _sets(k: int):
     return run
 
 
+def _least_shared(num: int, den: int, retained: int) -> float:
+    """How many values of the bottom of a union a pair at the threshold
+    shares, with seven standard deviations of slack."""
+    t = num / den
+    return (t - 7 * (t * (1 - t) / retained) ** 0.5) * retained
+
+
 def _estimate(num: int, den: int, retained: int):
     """Keep the pairs whose similarity, estimated from the bottom of the union
-    of their sketches with seven standard deviations of slack, may reach the
-    threshold; sets that are retained whole pass."""
-    t = num / den
-    least = (t - 7 * (t * (1 - t) / retained) ** 0.5) * retained
+    of their sketches, may reach the threshold; sets that are retained whole
+    pass."""
+    least = _least_shared(num, den, retained)
 
     def near(a: np.ndarray, b: np.ndarray) -> bool:
         if min(len(a), len(b)) < retained:
@@ -363,21 +369,27 @@ def _cross_pairs(members: DataFrame, lists: DataFrame, feats: DataFrame, num: in
     """Members outside a list's largest component with members of other
     components, once for each pair: in the list of the first value that both
     are listed under.  Where that list has lost one of them, the pair needs no
-    test (the one was near a leader, or both were in one component).  What
-    either has before that value the other lacks, so sets that are retained
-    whole must reach the threshold with that many differing values."""
-    own = (lists.join(members.select("c").distinct(), "c", "left_semi")
+    test (the one was near a leader, or both were in one component).  Lists
+    are met with sketches, so that the join itself drops what cannot reach the
+    threshold: of sets that are retained whole, by positions and then exactly;
+    of others, by the values that both sketches share."""
+    ids = members.select("c").distinct()
+    own = (lists.join(ids, "c", "left_semi")
            .groupBy("c").agg(F.sort_array(F.collect_list(F.struct("r", "k")))["k"].alias("ls")))   # at most ``retained``
-    sizes = feats.select(F.col("_d").alias("c"), "n").distinct()
-    known = materialize(members.join(own, "c").join(sizes, "c")
+    sketches = feats.select(F.col("_d").alias("c"), "n", F.col("sketch").alias("sk")).join(ids, "c", "left_semi").distinct()
+    known = materialize(members.join(own.join(sketches, "c"), "c")
                         .withColumn("r", F.array_position("ls", F.col("k")) - 1), "far_lists")
     rest = known.filter("comp <> main").select(
-        "k", *[F.col(x).alias(x + "1") for x in ("c", "comp", "n", "ls", "r")])
-    differing = F.when(F.greatest("n", "n1") <= retained, F.col("r") + F.col("r1")).otherwise(
-        F.greatest("n", "n1") - F.least("n", "n1"))
+        "k", *[F.col(x).alias(x + "1") for x in ("c", "comp", "n", "ls", "r", "sk")])
+    n, n1, r, r1 = (F.col(x) for x in ("n", "n1", "r", "r1"))
+    both = F.size(F.array_intersect("sk", "sk1"))
+    whole = F.greatest(n, n1) <= retained
     cross = (rest.join(known, "k").filter("comp1 <> comp and (comp = main or c1 < c)")
-             .filter(_reaches(num, den, F.col("n"), F.col("n1"), differing))
-             .filter(F.array_intersect("ls", "ls1")[0] == F.col("k")))
+             .filter(F.least(n, n1) * den >= F.greatest(n, n1) * num)
+             .filter(~whole | _reaches(num, den, n, n1, r + r1))
+             .filter(F.array_intersect("ls", "ls1")[0] == F.col("k"))
+             .filter(F.when(whole, _reaches(num, den, n, n1, n + n1 - 2 * both))
+                     .otherwise((F.least(n, n1) < retained) | (both >= _least_shared(num, den, retained)))))
     return cross.select(F.least("c1", "c").alias("a"), F.greatest("c1", "c").alias("b")).distinct()
 
 
