@@ -162,6 +162,25 @@ def test_passages_in_many_small_runs(docs, monkeypatch, spark):
     assert {tuple(r) for r in substring_dedup.report(d).collect()} == set(plain_words(rows, 35))
 
 
+@pytest.mark.parametrize(("report", "plain", "length"), [(suffix_dedup.report, plain_bytes, 100),
+                                                         (substring_dedup.report, plain_words, 35)])
+@pytest.mark.parametrize("part_bytes", [None, 512])
+def test_repeated_rows_over_partitions_are_one_document(report, plain, length, part_bytes, spark, monkeypatch):
+    """A row that comes again in another map task is no earlier copy of itself."""
+    if part_bytes:
+        for module in (suffix_dedup, substring_dedup):
+            monkeypatch.setattr(module, "PART_BYTES", part_bytes)
+    text = {c: " ".join(f"{c}{i * i}" for i in range(90)) for c in "pqrs"}
+    twice = [(1, text["p"]), (None, text["q"]), (2, text["r"] + " end"), (3, "head " + text["r"])]
+    once = [(4, text["s"]), (5, text["s"])]
+    rows = twice + twice + once + twice[::-1]
+    df = spark.createDataFrame(spark.sparkContext.parallelize(rows, 3), "doc_id long, text string")
+    assert df.rdd.getNumPartitions() == 3
+    got = [tuple(r) for r in report(df).collect()]
+    assert len(got) == df.count()
+    assert set(got) == set(plain(unique(df), length))
+
+
 def test_kept_texts_match_the_digests(edge):
     kept = {r.doc_id: r.kept for r in substring_dedup.remove_passages(edge).collect()}
     sha = {r.doc_id: r.kept_sha256 for r in substring_dedup.report(edge).collect()}

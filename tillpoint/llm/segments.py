@@ -105,9 +105,10 @@ def merge_spans(d: np.ndarray, h: np.ndarray, lo: np.ndarray, hi: np.ndarray):
 
 def earlier_elsewhere(shared: DataFrame, length: int) -> DataFrame:
     """Spans of the windows that stand earlier in another task.  A task sends
-    each window once, so a key has at most as many rows as there are tasks."""
+    each window once, so a key has at most as many rows as there are tasks.
+    The first position itself stays, however often it was sent."""
     w = Window.partitionBy("k1", "k2").orderBy("d", "h", "lo")
-    return (shared.withColumn("r", F.row_number().over(w)).filter("r > 1")
+    return (shared.withColumn("r", F.rank().over(w)).filter("r > 1")
             .select("d", "h", "lo", (F.col("lo") + length).alias("hi")))
 
 

@@ -170,7 +170,12 @@ def _cut(b: dict[str, np.ndarray], splitter: tuple) -> int:
 
 
 def _sorted(b: dict[str, np.ndarray], words: np.ndarray) -> tuple[dict[str, np.ndarray], np.ndarray]:
-    o = np.lexsort((b["s"], b["h"], b["d"], b["c"], b["a"]))
+    """In order of anchor, block and position; a position that comes again (a
+    repeated row) counts once, with the most copies a run has met."""
+    most = [-b["copies"]] if "copies" in b else []
+    o = np.lexsort((*most, b["s"], b["h"], b["d"], b["c"], b["a"]))
+    again = np.logical_and.reduce([b[k][o[1:]] == b[k][o[:-1]] for k in "acdhs"])
+    o = o[np.concatenate([[True], ~again])]
     start = np.cumsum(b["n"]) - b["n"]
     return {k: v[o] for k, v in b.items()}, words[_ragged(start[o], b["n"][o])]
 

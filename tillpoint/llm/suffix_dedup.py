@@ -214,14 +214,14 @@ def _settle(group: list[tuple], length: int, edge: bool, spans: list, shared: li
     if len(group) == 1 and not edge:
         return
     group.sort(key=lambda e: e[1:4])
-    whole: dict[tuple, bool] = {}
+    whole: dict[tuple, tuple] = {}
     distinct = []
     for e in group:                         # equal with all context: only the first stays
-        if (e[0], e[4]) in whole:
-            spans.append((e[1], e[2], e[3], e[3] + len(e[4]) + len(e[0])))
-        else:
-            whole[e[0], e[4]] = True
+        old = whole.setdefault((e[0], e[4]), e)
+        if old is e:
             distinct.append(e)
+        elif old[1:4] != e[1:4]:            # else a repeated row brings the first one again
+            spans.append((e[1], e[2], e[3], e[3] + len(e[4]) + len(e[0])))
     for e, found in zip(distinct, _repeated(distinct, length), strict=True):
         anchor = e[3] + len(e[4])
         for a, b in found:
