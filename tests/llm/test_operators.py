@@ -243,6 +243,22 @@ def test_dense_group_of_near_copies(spark):
     assert got == plain_components(rows, 3, 85, 100)
 
 
+def test_one_row_of_each_near_duplicate_group_stays(spark):
+    """Null-id copies, repeated rows, and one id with near or other texts."""
+    a, b, c, e = (" ".join(f"{x}{i * i}" for i in range(80)) for x in "abce")
+    rows = [(None, a, 1), (None, a, 2), (None, a, 1), (1, b, 1), (1, b, 1), (2, b, 1),
+            (3, c, 1), (3, c + " end", 2), (3, e, 3), (4, e + " end", 4), (5, "", 1), (5, "", 2), (None, None, 1),
+            (6, None, 1), (7, "", 1)]
+    df = spark.createDataFrame(spark.sparkContext.parallelize(rows, 4), "doc_id long, text string, n int")
+    kept = [tuple(r) for r in minhash_dedup.drop_near_duplicates(df).collect()]
+    assert set(kept) <= set(rows)
+    texts = collections.Counter((t or "")[:1] for _, t, _ in kept)
+    assert texts == {"a": 1, "b": 1, "c": 1, "e": 1, "": 4}
+    assert {i for i, t, _ in kept if t and t[0] == "b"} == {1}
+    again = minhash_dedup.drop_near_duplicates(df.repartition(3, "n"))
+    assert sorted(map(str, kept)) == sorted(str(tuple(r)) for r in again.collect())
+
+
 # ---------------------------------------------------------------- other operators
 
 def test_masks_cover_every_tolerated_change():

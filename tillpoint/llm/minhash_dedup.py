@@ -49,7 +49,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillpoint.llm.common import batches, blobs, keyed_texts, materialize, only_ids, real_id, row_id, scratch
+from tillpoint.llm.common import (
+    NULL_ID,
+    batches,
+    blobs,
+    keyed_texts,
+    materialize,
+    only_ids,
+    real_id,
+    row_id,
+    scratch,
+)
 from tillpoint.llm.components import components
 from tillpoint.llm.hashing import mix, sequence_hash, shingle_hashes, word_chunks
 
@@ -442,9 +452,34 @@ def report(docs: DataFrame, **options) -> DataFrame:
                     (F.col("_d") == F.col("comp")).alias("kept"))
 
 
+def _vertices(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``docs`` with __n_d, the internal id, and __n_h, the text's hash.  Of an
+    id with several texts all but one get ids of their own (above all ids), so
+    that each is grouped by its own text."""
+    docs = docs.withColumn("__n_d", row_id(id_col, text_col)).withColumn("__n_h", F.xxhash64(F.col(text_col)))
+    several = materialize(docs.groupBy("__n_d").agg(F.min("__n_h").alias("__n_lo"), F.max("__n_h").alias("__n_hi"))
+                          .filter("__n_lo <> __n_hi").select("__n_d", "__n_lo"), "ids_of_several_texts")
+    if several.isEmpty():
+        return docs
+    own = F.lit(NULL_ID) + F.xxhash64("__n_d", "__n_h").bitwiseAND(F.lit(NULL_ID - 1))
+    return (docs.join(several, "__n_d", "left")
+            .withColumn("__n_d", F.when(F.col("__n_h") > F.col("__n_lo"), own).otherwise(F.col("__n_d"))).drop("__n_lo"))
+
+
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` without the documents that are not the smallest of their group."""
-    gone = (near_duplicates(docs, id_col, text_col, **options).filter("_d <> comp")
-            .select(F.col("_d").alias("__n_d"), F.col("_h").alias("__n_h")).distinct())
-    return (docs.withColumn("__n_d", row_id(id_col, text_col)).withColumn("__n_h", F.xxhash64(F.col(text_col)))
-            .join(gone, ["__n_d", "__n_h"], "left_anti").select(*docs.columns))
+    """One row of each group: that of its smallest document.  Rows that agree
+    in id and text (a null id: in text) are one document; of these the row
+    stays whose other columns have the smallest hash."""
+    rows = _vertices(docs, id_col, text_col)
+    key = [F.col("_d").alias("__n_d"), F.col("_h").alias("__n_h")]
+    near = near_duplicates(rows, "__n_d", text_col, **options)
+    gone = near.filter("_d <> comp").select(*key).distinct()
+    twice = materialize(near.filter("_d = comp").groupBy("_d", "_h").count().filter("count > 1").select(*key),
+                        "repeated_survivors")
+    if twice.isEmpty():
+        return rows.join(gone, ["__n_d", "__n_h"], "left_anti").select(*docs.columns)
+    once = rows.join(gone.union(twice), ["__n_d", "__n_h"], "left_anti").select(*docs.columns)
+    # min_by combines in each task first: a text of any frequency is no large group
+    one = (rows.join(twice, ["__n_d", "__n_h"], "left_semi").groupBy("__n_d", "__n_h")
+           .agg(F.min_by(F.struct(*docs.columns), F.xxhash64(F.to_json(F.struct(*docs.columns)))).alias("__n_row")))
+    return once.union(one.select("__n_row.*"))
