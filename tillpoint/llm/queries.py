@@ -11,9 +11,12 @@ from tillpoint.llm import (
     language_id,
     minhash_dedup,
     mixing,
+    negative_mining,
+    packing,
     pii,
     quality_classifier,
     quality_rules,
+    spelling_variants,
     substring_dedup,
     suffix_dedup,
     url_filter,
@@ -74,9 +77,24 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonymise(docs, count_col="n_replaced")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negative_mining.mine(_table(spark, sf_dir, "embeddings"), lambda ids: ids % 50 == 0, label=label)
+
+
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.variants(_table(spark, sf_dir, "documents"), rule=spelling_variants.drop_by_crc(199))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quality_rules, op2_suffix_array_dedup, op3_mixing_sources, op4_substring_dedup, op5_minhash_near_dedup,
-    op6_quality_classifier, op7_benchmark_decontamination, op8_url_filters, op9_language_id, op10_pii)}
+    op6_quality_classifier, op7_benchmark_decontamination, op8_url_filters, op9_language_id, op10_pii,
+    op11_hard_negatives, op12_packing, op13_spelling_variants)}
 
 _WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 
@@ -121,4 +139,20 @@ kept AS (SELECT doc_id, count(*) AS n, string_agg(x, ' ' ORDER BY p) AS t FROM w
 SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n, 0) AS BIGINT) AS n_removed,
   sha256(coalesce(t, '')) AS kept_sha256
 FROM w LEFT JOIN kept USING (doc_id)""",
+    "op11_hard_negatives": """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+      FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, v.vec_id, v.label = a.label AS same,
+        CAST(list_inner_product(a.e, v.e) AS BIGINT) AS score
+      FROM v a JOIN v ON a.vec_id % 50 = 0 AND a.vec_id <> v.vec_id),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id,
+  CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+  vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3""",
 }
