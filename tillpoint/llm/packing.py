@@ -19,8 +19,9 @@ read it plus the number of pieces in earlier tasks, so no class passes through
 one task.  The rank tells pattern, sequence and slot; offsets add up within a
 sequence, and positions of the laid-out pieces by task like the ranks.
 
-Tokens.  White space is in no token, so the ids of a text are those of its words
-one after the other; a task keeps the ids of up to ``CACHE`` words.
+Tokens.  Where the tokenizer cuts texts into words first, the ids of a text are
+those of its words one after the other; a task keeps the ids of up to ``CACHE``
+words.  Special tokens' strings in a text are what the tokenizer makes of them.
 
 Null and empty texts are the end id alone.  Every row is packed, repeated rows
 and null ids (null in the result) too.  Long texts are read whole.  No documents
@@ -29,6 +30,8 @@ give no rows.
 
 from __future__ import annotations
 
+import json
+import re
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -42,7 +45,7 @@ from pyspark.sql import functions as F
 from tillpoint.llm.common import batches, blobs, materialize, prepare, scratch
 
 CAPACITY = 2048
-CACHE = 200_000              # words whose ids a task keeps
+CACHE = 400_000              # words whose ids a task keeps
 GAP = 0.0005                 # the program ends this close to its lower bound
 MIN_FILL = 0.99
 PIVOTS = 3000                # at most; what is then not optimal is only less tightly packed
@@ -56,27 +59,77 @@ def size_class(n: np.ndarray) -> np.ndarray:
     return -(-n // step) * step
 
 
+#: how a tokenizer must cut texts for the word-by-word path (fixed values)
+CUTS = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+FOLDS = ["NFC", "Replace", "Lowercase"]
+#: the same cuts for lower-cased text of ASCII and U+00C0 to U+00FF, on which NFC changes nothing
+PLAIN = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|"
+                   "[^a-z\u00df-\u00f6\u00f8-\u00ff0-9 \t-\r]+")
+OTHER = re.compile("[^\x00-\x7f\u00c0-\u00ff]")
+
+
+_kept: dict[str, "Words"] = {}
+
+
+def words_of(path: str) -> "Words":
+    """The tokenizer of a path, with the ids it has met in this process."""
+    if path not in _kept:
+        _kept[path] = Words(path)
+    return _kept[path]
+
+
 class Words:
-    """Token ids (unsigned 16 or 32 bits, as bytes) of texts, word by word."""
+    """Token ids (unsigned 16 or 32 bits, as bytes) of texts.  Where the
+    tokenizer folds case and cuts at words, the ids of a word are looked up
+    once; any other tokenizer, and texts with special tokens, go through whole."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
         self.type = np.dtype("<u2" if self.tok.get_vocab_size() <= 1 << 16 else "<u4")
-        self.known: dict[bytes, bytes] = {}
+        self.known: dict[str, bytes] = {}
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        folds = (spec.get("normalizer") or {}).get("normalizers") or []
+        cuts = (spec.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+        self.simple = ([x["type"] for x in folds] == FOLDS and cuts[0].get("pattern") == {"Regex": CUTS}
+                       and not spec.get("post_processor"))
+        self.special = [t["content"] for t in spec.get("added_tokens", [])]
+
+    def _encode(self, text: str) -> bytes:
+        return np.array(self.tok.encode(text, add_special_tokens=False).ids, self.type).tobytes()
+
+    def _learn(self, words: list[str]) -> None:
+        for at in range(0, len(words), 5000):
+            some = words[at:at + 5000]
+            e = self.tok.encode(" ".join(some), add_special_tokens=False)
+            word, ids = np.array(e.word_ids), np.array(e.ids, self.type)
+            edges = np.searchsorted(word, np.arange(len(some) + 1)).tolist()
+            for w, x, y in zip(some, edges, edges[1:], strict=False):
+                self.known[w] = ids[x:y].tobytes()
 
     def ids(self, texts: list[bytes]) -> Iterator[bytes]:
-        for text in texts:
-            words = text.split()
-            if len(self.known) > CACHE:
-                self.known.clear()
-            new = [w for w in dict.fromkeys(words) if w not in self.known]
-            for at in range(0, len(new), 1000):
-                some = new[at:at + 1000]
-                found = self.tok.encode_batch_fast([w.decode() for w in some], add_special_tokens=False)
-                for w, e in zip(some, found, strict=True):
-                    self.known[w] = np.array(e.ids, self.type).tobytes()
-            yield b"".join([self.known[w] for w in words])
+        for blob in texts:
+            text = blob.decode()
+            if not self.simple or any(t in text for t in self.special):
+                yield self._encode(text)
+                continue
+            if OTHER.search(text):
+                # words with other characters are encoded alone, those between them as usual
+                parts = [self._encode(w) if OTHER.search(w) else self._plain(w) for w in re.split("[ \t-\r]+", text)]
+                yield b"".join(parts)
+                continue
+            yield self._plain(text)
+
+    def _plain(self, text: str) -> bytes:
+        words = PLAIN.findall(text.lower())
+        known = self.known
+        if len(known) > CACHE:
+            known.clear()
+        new = [w for w in dict.fromkeys(words) if w not in known]
+        if new:
+            self._learn(new)
+        return b"".join([known[w] for w in words])
 
 
 def _crc(ids: np.ndarray) -> int:
@@ -85,7 +138,7 @@ def _crc(ids: np.ndarray) -> int:
 
 def _pieces(path: str, end: int, capacity: int):
     def run(it):
-        words, task, ranks = Words(path), TaskContext.get().partitionId(), {}
+        words, task, ranks = words_of(path), TaskContext.get().partitionId(), {}
         names = [x.split()[0] for x in PIECES.split(", ")]
         types = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
         for batch in it:
@@ -370,6 +423,6 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
                 .select("size", "task", F.col("local").alias("rank"), (F.col("at") + F.col("earlier") + begin[F.col("size")])
                         .cast("long").alias("at"))
             again = pieces.join(laid, ["size", "task", "rank"]).select("doc_id", "start", "length", "doc_tokens", "at", "ids")
-            wide = Words(tokenizer).type.itemsize == 4
+            wide = words_of(tokenizer).type.itemsize == 4
             out = out.union(again.mapInArrow(_cut(sum(by_size.values()), capacity, sequences, wide), RESULT))
         return block.keep(materialize(out, "packed"))
