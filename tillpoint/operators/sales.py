@@ -11,7 +11,7 @@ rows themselves stay flat (``sale_items``) instead of being nested.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillpoint.functions import scalars as S
@@ -161,18 +161,36 @@ def sale_lookup(sales: DataFrame, sale_id: int) -> DataFrame:
 ITEM_FIELDS = ["pos_item_id", "item_name", "quantity", "unit_price", "line_total"]
 
 
-def nest_items(lines: DataFrame, chunk=None, chunk_size: int = 200) -> DataFrame:
+def number_lines(lines: DataFrame, span=None, key: str = "sale_id", order: str = "_row_no",
+                 out: str = "_line") -> DataFrame:
+    """Adds the running number (from 0) of each line within its sale, in order
+    of ``order``, without gathering a sale: lines are counted by (sale, span
+    of the input), the counts of the spans before give an offset, and only the
+    lines of one span are numbered one after the other.  ``span`` must grow with
+    ``order`` and bound its rows; by default 100,000 consecutive row numbers."""
+    span = F.floor(F.col(order) / 100_000) if span is None else span
+    lines = lines.withColumn("_span", span.cast("bigint"))
+    counts = lines.groupBy(key, "_span").agg(F.count(F.lit(1)).alias("_c"))
+    spans = Window.partitionBy(key).orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.select(F.col(key).alias("_k"), F.col("_span").alias("_s"),
+                           F.coalesce(F.sum("_c").over(spans), F.lit(0)).alias("_before"))
+    local = F.row_number().over(Window.partitionBy(key, "_span").orderBy(order))
+    numbered = lines.withColumn("_local", local)
+    return numbered.join(before, (numbered[key] == before["_k"]) & (numbered["_span"] == before["_s"])) \
+        .withColumn(out, (F.col("_before") + F.col("_local") - 1).cast("bigint")) \
+        .drop("_span", "_local", "_k", "_s", "_before")
+
+
+def nest_items(lines: DataFrame, span=None, chunk_size: int = 200, fields: list[str] | None = None) -> DataFrame:
     """N-1: the items of each sale nested in file order, as a message body.
 
-    A sale's items are split into chunks of at most ``chunk_size`` lines
-    (by default consecutive ``_row_no`` ranges), so no nested array — and no
-    task building one — grows with the size of an invoice; a consumer
-    reassembles a sale from its chunks by key.
-    """
-    if chunk is None:
-        chunk = F.floor(F.col("_row_no") / chunk_size)
-    entry = F.struct(F.col("_row_no").alias("_o"), *[F.col(c) for c in ITEM_FIELDS])
-    g = lines.groupBy("sale_id", chunk.cast("bigint").alias("chunk")).agg(
+    A sale's lines are numbered and split into chunks of ``chunk_size``, so no
+    nested array, and no task building one, grows with the size of an invoice;
+    a consumer reassembles a sale from its chunks by key."""
+    fields = fields or ITEM_FIELDS
+    numbered = number_lines(lines, span)
+    entry = F.struct(F.col("_line").alias("_o"), *[F.col(c) for c in fields])
+    g = numbered.groupBy("sale_id", F.floor(F.col("_line") / chunk_size).cast("bigint").alias("chunk")).agg(
         F.array_sort(F.collect_list(entry)).alias("_items"))
-    items = F.transform("_items", lambda x: F.struct(*[x[c].alias(c) for c in ITEM_FIELDS]))
+    items = F.transform("_items", lambda x: F.struct(*[x[c].alias(c) for c in fields]))
     return g.select("sale_id", "chunk", items.alias("items"))

@@ -1000,22 +1000,25 @@ def q_message_decode(spark, sf):
                     F.when(F.col("_ok"), F.col("_msg._meta.node_id")).alias("node_id"))
 
 
-_LETTER_SQL = ", ".join(f"{c} := CAST({c} AS VARCHAR)" for c in TB.LETTER_FIELDS)
+_LETTER_SQL = ", ".join(f"{c} := CAST({c} AS VARCHAR)" for c in TB.RAW_FIELDS)
 
 
 @register("dead_letter", _MSG_SQL + f"""
-SELECT 'validation' AS source, CAST(to_json(struct_pack({_LETTER_SQL})) AS VARCHAR) AS payload, sale_id AS pos_sale_id,
+SELECT 'validation' AS source, CAST(to_json(struct_pack(chunk := chunk, lines := list(struct_pack({_LETTER_SQL})
+         ORDER BY _line))) AS VARCHAR) AS payload, sale_id AS pos_sale_id,
        'node-' || CAST({stable_shard('sale_id', SHARDS)} AS VARCHAR) AS node_id
-FROM validated WHERE NOT accepted
+FROM (SELECT *, _line // 200 AS chunk FROM (SELECT *, row_number() OVER (PARTITION BY sale_id
+        ORDER BY l_linenumber, l_partkey, l_suppkey, subtotal) - 1 AS _line FROM plines
+      WHERE sale_id IN (SELECT sale_id FROM validated WHERE NOT accepted)) n) c GROUP BY sale_id, chunk
 UNION ALL
 SELECT 'decode', payload, CAST(source_id AS BIGINT), NULL FROM msg WHERE NOT json_valid(payload)""")
 def q_dead_letter(spark, sf):
-    # both halves (rejected sales, undecodable messages) start from the
-    # same validation: build it once
+    """The raw lines of rejected sales and the texts of undecodable
+    messages.  Both start from the same validation: it is built once."""
     v_all = materialize(validated(spark, sf), "validated")
-    v = v_all.filter(~F.col("accepted"))
-    a = TB.dead_letters(v, TB.record_json(TB.LETTER_FIELDS), "sale_id",
-                        F.concat(F.lit("node-"), S.stable_shard("sale_id", SHARDS).cast("string")))
+    raw = TB.raw_letters(sheet_lines(spark, sf), v_all.filter(~F.col("accepted")), F.col("_row_no.l_linenumber"))
+    a = TB.dead_letters(raw, F.col("payload"), "pos_sale_id",
+                        F.concat(F.lit("node-"), S.stable_shard("pos_sale_id", SHARDS).cast("string")))
     d = TB.decode(messages(spark, sf, v_all), MESSAGE_SCHEMA).filter(~F.col("_ok"))
     b = TB.dead_letters(d, F.col("payload"), "source_id")
     return a.withColumn("source", F.lit("validation")).unionByName(
@@ -1253,21 +1256,88 @@ def q_windowed_errors_stream(spark, sf):
     return r.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
-@register("nest_items", with_(SHEET, PLINES) + """
-SELECT sale_id, CAST(floor(l_linenumber / 200) AS BIGINT) AS chunk,
-  CAST(count(*) AS INTEGER) AS n_items,
+CHUNK = 3                    # lines of a chunk in the stand-in, whose sales are short
+
+
+@register("nest_items", with_(SHEET, PLINES) + f"""
+SELECT sale_id, chunk, CAST(count(*) AS INTEGER) AS n_items,
   CAST(to_json(list(struct_pack(pos_item_id := pos_item_id, item_name := item_name,
-    quantity := quantity, unit_price := unit_price, line_total := line_total)
-    ORDER BY l_linenumber, l_partkey, l_suppkey, pos_item_id, item_name, quantity, unit_price,
-             line_total)) AS VARCHAR) AS items_json
-FROM plines GROUP BY 1, 2""")
+    quantity := quantity, unit_price := unit_price, line_total := line_total) ORDER BY _line)) AS VARCHAR) AS items_json
+FROM (SELECT *, _line // {CHUNK} AS chunk FROM (SELECT *, row_number() OVER (PARTITION BY sale_id
+        ORDER BY l_linenumber, l_partkey, l_suppkey, subtotal) - 1 AS _line FROM plines) n) c GROUP BY 1, 2""")
 def q_nest_items(spark, sf):
-    lines = sheet_lines(spark, sf)
-    n = SA.nest_items(lines, chunk=F.floor(F.col("_row_no.l_linenumber") / 200))
+    """N-1: items in numbered chunks; the span is the printed line number."""
+    n = SA.nest_items(sheet_lines(spark, sf), F.col("_row_no.l_linenumber"), CHUNK)
     return n.select("sale_id", "chunk", F.size("items").alias("n_items"),
                     F.to_json("items").alias("items_json"))
 
 
+def _two(x: str) -> str:
+    return f"CAST(CAST({x} AS DECIMAL(18,2)) AS VARCHAR)"
+
+
+@register("sale_message", _DB + f", {_HDR}" + _PAID + f"""
+, numbered AS (SELECT *, row_number() OVER (PARTITION BY sale_id ORDER BY l_linenumber, l_partkey, l_suppkey, subtotal) - 1 AS _line
+  FROM plines)
+, chunked AS (SELECT sale_id, _line // {CHUNK} AS chunk, list(struct_pack(
+    pos_item_id := {parse_int('pos_item_id')}, name := {clean_text('item_name')}, quantity := {parse_int('quantity')},
+    unit_price := {_two(parse_money('unit_price'))}, total := {_two(parse_money('line_total'))}) ORDER BY _line) AS items
+  FROM numbered GROUP BY 1, 2)
+, last AS (SELECT sale_id, max(chunk) + 1 AS chunks FROM chunked GROUP BY 1)
+, pays AS (SELECT sale_id, list(struct_pack(account_id := account_id, account := account,
+    amount := {_two('amount')}) ORDER BY pos) AS payments FROM paid GROUP BY 1)
+SELECT pos_sale_id, chunk, node_id, CAST(to_json(struct_pack(pos_sale_id := pos_sale_id,
+  pos_customer_id := pos_customer_id, customer_name := customer_name, salesperson := salesperson,
+  invoice_datetime := invoice_datetime, comment := comment, is_anonymous_customer := is_anonymous_customer,
+  items_net := items_net, items_sold := items_sold, items_returned := items_returned,
+  invoice_total := {_two('invoice_total')}, items := items,
+  payments := CASE WHEN chunk = 0 THEN coalesce(payments, []) ELSE [] END,
+  _meta := struct_pack(node_id := node_id, routing_key := 'sales.' || node_id, chunk := chunk, chunks := chunks)))
+  AS VARCHAR) AS payload
+FROM (SELECT *, 'node-' || CAST({stable_shard('pos_sale_id', SHARDS)} AS VARCHAR) AS node_id FROM db) d
+JOIN chunked c ON d.pos_sale_id = c.sale_id JOIN last ON last.sale_id = c.sale_id
+LEFT JOIN pays ON pays.sale_id = c.sale_id""")
+def q_sale_message(spark, sf):
+    """S5/N-1: whole sales as messages: resolved ids, items in chunks, payments."""
+    lines = sheet_lines(spark, sf)
+    res = materialize(resolved(spark, sf).filter("accepted"), "accepted")
+    paid, _ = RV.payment_rows(res, RV.account_table(spark))
+    paid = paid.withColumn("amount", S.parse_money("amount"))
+    items = SA.typed_items(lines).join(res.select("sale_id"), "sale_id", "left_semi")
+    node = F.concat(F.lit("node-"), S.stable_shard("pos_sale_id", SHARDS).cast("string"))
+    return TB.sale_messages(SA.db_row(res), items, paid, node, F.col("_row_no.l_linenumber"), CHUNK)
+
+
+@register("message_stream", _MSG_SQL + """
+SELECT json_valid(payload) AS ok,
+  CASE WHEN json_valid(payload) THEN TRY_CAST(json_extract_string(payload, '$.pos_sale_id') AS BIGINT) END AS pos_sale_id,
+  CASE WHEN json_valid(payload) THEN json_extract_string(payload, '$.invoice_total') END AS invoice_total,
+  CASE WHEN json_valid(payload) THEN NULL ELSE payload END AS payload FROM msg""")
+def q_message_stream(spark, sf):
+    """The messages as a stream, split in each micro-batch."""
+    landing, out, ck = _scratch(spark, "messages"), _scratch(spark, "decoded"), _scratch(spark, "ck")
+    messages(spark, sf).select("payload").repartition(4).write.parquet(landing)
+    IG.start_messages(spark, landing, MESSAGE_SCHEMA, out, ck, max_files=2).awaitTermination()
+    good, bad = spark.read.parquet(f"{out}/good"), spark.read.parquet(f"{out}/bad")
+    return good.select(F.lit(True).alias("ok"), F.col("pos_sale_id").try_cast("bigint").alias("pos_sale_id"),
+                       "invoice_total", F.lit(None).cast("string").alias("payload")).unionByName(
+        bad.select(F.lit(False).alias("ok"), F.lit(None).cast("bigint").alias("pos_sale_id"),
+                   F.lit(None).cast("string").alias("invoice_total"), "payload"))
+
+
+@register("dead_letter_replay", with_(SHEET, PLINES, SALE_AGG, _VALIDATED)
+          + f"SELECT {', '.join(VALID_COLS)} FROM validated WHERE NOT accepted")
+def q_dead_letter_replay(spark, sf):
+    """The dead letters of the rejected sales, written, decoded and
+    validated again, give the same sales."""
+    lines = sheet_lines(spark, sf)
+    bad = materialize(SA.validate_sales(lines).filter("NOT accepted").select("sale_id"), "rejected")
+    letters = materialize(TB.raw_letters(lines, bad, F.col("_row_no.l_linenumber"), CHUNK), "letters")
+    again = SA.validate_sales(SA.parsed_lines(TB.replay(letters, chunk_size=CHUNK)))
+    return again.withColumn("invoice_total", F.col("invoice_total").cast("double")) \
+        .withColumn("change_due", F.col("change_due").cast("double")).select(*VALID_COLS)
+
+
 # =============================================================== report sink
 from tillpoint.plans import report as RP  # noqa: E402
 

@@ -172,5 +172,5 @@ def driver_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_extendedprice").alias("subtotal"),
         dec("l_extendedprice").alias("line_total"),
         F.concat(F.lit("₦"), dec("o_totalprice")).alias("invoice_total"),
-        F.struct("l_linenumber", "l_partkey", "l_suppkey").alias("_row_no"),
+        F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice").alias("_row_no"),
     )
