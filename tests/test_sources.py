@@ -74,13 +74,20 @@ def test_workbook_reader(spark, tmpdir_path):
     assert got == [("Lace", "2.5", "12500", "20000.5"), ("Voile", "1", "7500", "20000.5")]
 
 
-RECEIPT = """<html><body><ul class="invoice-address invoiceto"><li>Bill to</li><li>Customer: Online customers</li></ul>
-<ul class="invoice-detail"><li>a</li><li>b</li><li>c</li><li>BB <strong>04/11/2026-02:30 PM</strong></li></ul>
-<table id="receipt-draggable"><tbody data-item-class="item"><tr data-sale-id="107" data-item-id="5"
- data-item-name="Lace" data-item-qty="2" data-item-price="5000" data-item-total="10000"><td>x</td></tr></tbody></table>
-<div class="invoice-footer-heading">Total</div><div class="invoice-footer-value invoice-total">N10,000</div>
-<div class="invoice-footer-heading">Cash</div><div class="invoice-footer-value invoice-payment">N6,000</div>
-<div class="invoice-footer-heading">Moniepoint</div><div class="invoice-policy">No refunds</div></body></html>"""
+RECEIPT = """<html><body><ul class="invoice-address invoiceto"><li>Bill to</li><li><b>Customer:</b> Online customers</li></ul>
+<ul class="invoice-detail"><li>a</li><li>b</li><li><strong> 04/11/2026-02:30 PM </strong></li>
+<li><span>Sold by</span> BB &amp; Co</li></ul>
+<table id="receipt-draggable"><thead><tr><th>x</th></tr></thead><tbody data-item-class="item" data-sale-id="107" data-item-id="5"
+ data-item-name="Lace &quot;A&quot;" data-item-qty="2" data-item-price="5000" data-item-total="10000"><tr><td>x</td></tr></tbody>
+<tbody data-item-class="note" data-item-id="9"></tbody>
+<tbody data-sale-id="107" data-item-class="item" data-item-id="6" data-item-qty="-1"><tr><td>y</td></tr></tbody></table>
+<div class="invoice-footer"><div class="invoice-footer-heading">Total</div>
+<div class="invoice-footer-value invoice-total">N10,000</div>
+<div class="invoice-footer-value">Cash</div><div class="invoice-footer-value invoice-payment"> N6,000 </div>
+<div class="invoice-footer-value invoice-payment"></div><div class="invoice-footer-value"> Moniepoint</div>
+<div class="invoice-footer-heading">Number of items sold</div><div class="invoice-footer-value">2</div>
+<div class="invoice-footer-heading">Change Due</div><span class="invoice-footer-value">N5</span></div>
+<div class="invoice-policy">No refunds</div></body></html>"""
 
 
 def test_receipt_extract(spark):
@@ -91,8 +98,10 @@ def test_receipt_extract(spark):
     assert r.customer_name == "Online customers" and r.is_anonymous_customer
     assert r.invoice_datetime == "04/11/2026-02:30 PM" and r.invoice_total == "N10,000"
     assert [(p.channel, p.amount) for p in r.payments] == [("CASH", "N6,000"), ("MONIEPOINT", "0.0")]
-    assert [(i.pos_item_id, i.quantity) for i in r.items] == [("5", "2")]
-    assert out[2].items == [] and out[2].customer_name is None
+    assert [(i.pos_item_id, i.name, i.quantity) for i in r["items"]] == [("5", 'Lace "A"', "2"), ("6", None, "-1")]
+    assert (r.salesperson, r.pos_sale_id, r.comment) == ("BB & Co", "107", "No refunds")
+    assert (r.items_sold, r.items_returned, r.change_due) == ("2", "0", "N5")
+    assert out[2]["items"] == [] and out[2].customer_name is None and not out[2].is_anonymous_customer
 
 
 def test_workbook_shared_strings(spark, tmpdir_path):
@@ -118,10 +127,10 @@ def test_workbook_shared_strings(spark, tmpdir_path):
 
 
 def test_receipt_without_footer_and_short_page(spark):
-    no_footer = RECEIPT.split('<div class="invoice-footer-heading">')[0] + "</body></html>"
+    no_footer = RECEIPT.split('<div class="invoice-footer">')[0] + "</body></html>"
     pages = spark.createDataFrame([(1, "u", no_footer), (2, "u", "<p>x</p>")],
                                   "page_id long, url string, html string")
     out = {r.page_id: r for r in RC.extract_receipts(pages).collect()}
     assert out[1].invoice_total is None and out[1].payments == []
-    assert out[1].customer_name == "Online customers" and len(out[1].items) == 1
-    assert out[2].n_chars < 100 and out[2].items == [] and out[2].salesperson is None
+    assert out[1].customer_name == "Online customers" and len(out[1]["items"]) == 2
+    assert out[2].n_chars < 100 and out[2]["items"] == [] and out[2].salesperson is None

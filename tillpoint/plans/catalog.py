@@ -1137,6 +1137,61 @@ def q_receipt_extract(spark, sf):
     return RC.extract_receipts(table(spark, sf, "pages"))
 
 
+def receipt_pages(spark, sf):
+    """Receipts of the orders as the shop prints them: items as attributes of
+    ``tbody`` tags (a third of the pages with a note between them), payments as
+    footer values."""
+    li = table(spark, sf, "lineitem").withColumn("l_quantity", F.col("l_quantity").cast("bigint"))
+    two = lambda c: F.col(c).cast("decimal(18,2)").cast("string")
+    tag = F.concat(F.lit('<tbody data-item-class="item" data-sale-id="'), "l_orderkey", F.lit('" data-item-id="'), "l_partkey",
+                   F.lit('" data-item-qty="'), "l_quantity", F.lit('" data-item-price="'), two("l_extendedprice"),
+                   F.lit('"><tr><td>&nbsp;</td></tr></tbody>'))
+    rows = li.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct(
+        "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", tag.alias("tag")))).alias("t"),
+        F.sum("l_quantity").alias("q"))
+    o = table(spark, sf, "orders").join(rows, F.col("o_orderkey") == F.col("l_orderkey"))
+    channel = F.when(F.col("o_custkey") % 2 == 0, "Cash").otherwise("Access Bank")
+    note = F.when(F.col("o_orderkey") % 3 == 0, '<tbody data-item-class="note" data-item-id="0"></tbody>').otherwise("")
+    html = F.concat(
+        F.lit('<html><ul class="invoice-address invoiceto"><li>Bill to</li><li>Customer: '),
+        F.when(F.col("o_custkey") % 5 == 0, "INDOOR").otherwise(F.concat(F.lit("C &amp; "), "o_custkey")),
+        F.lit('</li></ul>\n<ul class="invoice-detail"><li>1</li><li>2</li><li><strong>'),
+        F.date_format("o_orderdate", "MM/dd/yyyy"), F.lit('</strong></li><li><span>Sold by: </span> '), "o_orderstatus",
+        F.lit('</li></ul><table id="receipt-draggable">'), note, F.array_join(F.transform("t", lambda x: x["tag"]), "\n"),
+        F.lit('</table><div class="invoice-footer"><div class="invoice-footer-heading">Total</div>'
+              '<div class="invoice-footer-value invoice-total">N'), two("o_totalprice"),
+        F.lit('</div><div class="invoice-footer-value">'), channel,
+        F.lit('</div><div class="invoice-footer-value invoice-payment">'), two("o_totalprice"),
+        F.lit('</div><div class="invoice-footer-value">Moniepoint</div>'
+              '<div class="invoice-footer-heading">Number of items sold</div><div class="invoice-footer-value">'),
+        F.col("q").cast("string"), F.lit("</div></div></html>"))
+    return o.select(F.col("o_orderkey").alias("page_id"), F.lit("u").alias("url"), html.alias("html"))
+
+
+@register("receipt_sales", """
+WITH t AS (SELECT l_orderkey, list(struct_pack(pos_sale_id := CAST(l_orderkey AS VARCHAR),
+    pos_item_id := CAST(l_partkey AS VARCHAR), quantity := CAST(CAST(l_quantity AS BIGINT) AS VARCHAR),
+    unit_price := CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR))
+    ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity) AS items, sum(CAST(l_quantity AS BIGINT)) AS q
+  FROM lineitem GROUP BY 1)
+SELECT o_orderkey AS page_id, CAST(o_orderkey AS VARCHAR) AS pos_sale_id,
+  CASE WHEN o_custkey % 5 = 0 THEN 'INDOOR' ELSE 'C & ' || CAST(o_custkey AS VARCHAR) END AS customer_name,
+  o_custkey % 5 = 0 AS is_anonymous_customer, strftime(o_orderdate, '%m/%d/%Y') AS invoice_datetime,
+  o_orderstatus AS salesperson, 'N' || CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS invoice_total,
+  CAST(CAST(q AS BIGINT) AS VARCHAR) AS items_sold, '0' AS items_returned, CAST(to_json(items) AS VARCHAR) AS items_json,
+  CAST(to_json([struct_pack(channel := CASE WHEN o_custkey % 2 = 0 THEN 'CASH' ELSE 'ACCESS BANK' END,
+      amount := CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR)),
+    struct_pack(channel := 'MONIEPOINT', amount := '0.0')]) AS VARCHAR) AS payments_json
+FROM orders JOIN t ON o_orderkey = l_orderkey""")
+def q_receipt_sales(spark, sf):
+    """Receipts printed from the tables and read back."""
+    r = RC.extract_receipts(receipt_pages(spark, sf))
+    return r.select("page_id", "pos_sale_id", "customer_name", "is_anonymous_customer", "invoice_datetime", "salesperson",
+                    "invoice_total", "items_sold", "items_returned", F.to_json(F.transform("items", lambda i: F.struct(
+                        *[i[c].alias(c) for c in ("pos_sale_id", "pos_item_id", "quantity", "unit_price")])))
+                    .alias("items_json"), F.to_json("payments").alias("payments_json"))
+
+
 @register("stream_dedup", "SELECT event_id, ts, user_id, event_type, value, props FROM events")
 def q_stream_dedup(spark, sf):
     """Events replayed by a stream (the events file read twice) keep
