@@ -223,7 +223,7 @@ def _map(length: int, gram: int, splitters: list[tuple]):
     return run
 
 
-def _settle(b: dict, words: np.ndarray, ends: np.ndarray, x: int, y: int, edge: bool, length: int, spans: list,
+def _settle(b: dict, words: np.ndarray, voc: np.ndarray, ends: np.ndarray, x: int, y: int, edge: bool, length: int, spans: list,
             shared: list) -> None:
     """Blocks x to y share an anchor, in order of block hash."""
     e = _edges(b["c"][x:y]) + x
@@ -254,7 +254,7 @@ def _settle(b: dict, words: np.ndarray, ends: np.ndarray, x: int, y: int, edge:
                 for lo, hi in zip(*_runs(times > 1), strict=True):
                     spans.append(np.array([[d], [h], [at + lo], [at + hi + length - 1]]))
             if edge:
-                k1, k2 = _window_hashes(w, length)
+                k1, k2 = _window_hashes(voc[w], length)
                 for j, key in enumerate(zip(k1.tolist(), k2.tolist(), strict=True)):
                     if key not in sent:
                         sent.add(key)
@@ -279,11 +279,15 @@ def _reduce(length: int):
                 else:
                     part, vocabulary, at = segments.unpack(blob)
                     held.append(({k: v if k in "ac" else v.astype(np.int64) for k, v in part.items()},
-                                 vocabulary[at]))
+                                 vocabulary, at))
             if not held:
                 continue
             b = {k: np.concatenate([x[0][k] for x in held]) for k in held[0][0]}
-            words = np.concatenate([x[1] for x in held])
+            # words as numbers in the part's own vocabulary: half the bytes of their hashes
+            voc = np.unique(np.concatenate([x[1] for x in held]))
+            for i, (_, vocabulary, at) in enumerate(held):
+                held[i] = np.searchsorted(voc, vocabulary).astype(np.int32)[at]
+            words = np.concatenate(held)
             held.clear()
             b, words = _sorted(b, words)
             ends = np.concatenate([[0], np.cumsum(b["n"])])
@@ -292,7 +296,7 @@ def _reduce(length: int):
             for i in range(len(e) - 1):
                 edge = i == 0 or i == len(e) - 2
                 if edge or e[i + 1] - e[i] > 1:
-                    _settle(b, words, ends, int(e[i]), int(e[i + 1]), edge, length, spans, shared)
+                    _settle(b, words, voc, ends, int(e[i]), int(e[i + 1]), edge, length, spans, shared)
             if spans:
                 d, h, lo, hi = segments.merge_spans(*np.concatenate(spans, axis=1))
                 yield from segments.reduced(np.zeros(len(d), np.int32), d, h, lo, hi)
@@ -329,7 +333,7 @@ def repeated_spans(texts: DataFrame, length: int, gram: int) -> DataFrame:
     parts = max(parts, min(int(spark.conf.get("spark.sql.shuffle.partitions")), total >> 18, 1 << 20))
     splitters = _splitters(texts, parts, words * density, length, gram)
     sent = texts.mapInArrow(_map(length, gram, splitters), "part int, blob binary")
-    got = materialize(sent.repartition(len(splitters) + 1, "part").mapInArrow(_reduce(length), segments.REDUCED),
+    got = materialize(sent.repartitionById(len(splitters) + 1, "part").mapInArrow(_reduce(length), segments.REDUCED),
                       "passage_groups")
     first = got.filter("n = 0").select("d", "h", "lo", "hi")
     return first.union(segments.found_elsewhere(got.filter("n > 0"), length))
