@@ -51,8 +51,11 @@ SECOND_BASE = 0xA0761D6478BD642F | 1
 
 def _ragged(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     """Indices start[i] .. start[i] + size[i] - 1, one after the other."""
-    off = np.cumsum(size) - size
-    return np.arange(int(size.sum())) + np.repeat(start - off, size)
+    n = int(size.sum())
+    kind = np.int32 if n + int(start.max(initial=0)) < 1 << 31 else np.int64
+    out = np.repeat((start - (np.cumsum(size) - size)).astype(kind), size)
+    out += np.arange(n, dtype=kind)
+    return out
 
 
 def blocks(texts: list[bytes], d: np.ndarray, h: np.ndarray, length: int, gram: int):
