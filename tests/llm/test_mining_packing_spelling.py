@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tillpoint.llm import negative_mining, packing, spelling_variants
+from tillpoint.llm import language_id, negative_mining, packing, quality_classifier, spelling_variants
 
 SF = "/root/testdata/sf0.001"
 
@@ -241,3 +241,17 @@ def test_groups_stay_within_the_alphabet(spark):
     r = spelling_variants.rotations(words)
     assert r.count() == sum(2 * len(w) + 1 for w in ("aabbcc", "aabbc", "xabbcc"))
     assert r.groupBy("prefix").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] == 2
+
+
+# folds and letters of the two classifiers ------------------------------------------
+def test_null_ids_and_symbols_in_the_classifiers(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+    odd = spark.createDataFrame([(None, "a plain text without an id", "en"), (10 ** 9, "\U0001f600\U0001f680 12 !", "en"),
+                                 (10 ** 9 + 1, "\U00010400\U00010401", "en")], "doc_id long, text string, lang string")
+    got = language_id.identify(docs.union(odd))
+    assert got.filter("held_out IS NULL").count() == 0
+    und = {r["doc_id"] for r in got.filter("lang_pred = 'und' AND doc_id >= 1000000000").collect()}
+    assert und == {10 ** 9}                                     # U+10400 is a letter, an emoji is none
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    scored = quality_classifier.score(docs.union(odd), labels)
+    assert scored.filter("held_out IS NULL").count() == 0 and scored.filter("doc_id IS NULL AND NOT held_out").count() == 1

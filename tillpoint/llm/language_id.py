@@ -42,8 +42,8 @@ _letters: np.ndarray | None = None
 def _is_letter(points: np.ndarray) -> np.ndarray:
     global _letters
     if _letters is None:
-        _letters = np.array([chr(i).isalpha() for i in range(1 << 16)] + [True])
-    return _letters[np.minimum(points, 1 << 16)]
+        _letters = np.fromiter((chr(i).isalpha() for i in range(0x110000)), bool, 0x110000)
+    return _letters[points]
 
 
 def _points(text: str | None) -> np.ndarray:
@@ -132,7 +132,8 @@ def learn(docs: DataFrame, id_col: str, text_col: str, lang_col: str, max_train:
 
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
              folds: int = 4, held_out: int = 2, max_train: int = MAX_TRAIN) -> DataFrame:
-    """(id, held_out, lang_pred, score) of every row; learned without the
+    """(id, held_out, lang_pred, score) of every row (held_out is false for a
+    null id, which is not learned from either); learned without the
     rows of the held-out fold."""
     prepare(docs.sparkSession)
     model = learn(docs.filter(fold(id_col, folds) != held_out), id_col, text_col, lang_col, max_train)
@@ -154,4 +155,4 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
 
     d = docs.select(F.col(id_col).alias("_d"), F.col(text_col).alias("_t"))
     out = d.mapInArrow(run, f"_d {kind}, lang_pred string, score double")
-    return out.select(F.col("_d").alias(id_col), (fold("_d", folds) == held_out).alias("held_out"), "lang_pred", "score")
+    return out.select(F.col("_d").alias(id_col), F.coalesce(fold("_d", folds) == held_out, F.lit(False)).alias("held_out"), "lang_pred", "score")

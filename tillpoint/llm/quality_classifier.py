@@ -130,7 +130,8 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           folds: int = 5, held_out: int = 0, threshold: float = 0.3, **options) -> DataFrame:
-    """(id, held_out, score, predicted) of every row; learned without the
+    """(id, held_out, score, predicted) of every row (held_out is false for a
+    null id, which is not learned from either); learned without the
     rows of the held-out fold."""
     prepare(docs.sparkSession)
     train = fold(id_col, folds) != held_out
@@ -144,5 +145,5 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     kind = docs.schema[id_col].dataType.simpleString()
     d = docs.select(F.col(id_col).alias("_d"), F.col(text_col).alias("_t")).mapInArrow(run, f"_d {kind}, score double")
-    return d.select(F.col("_d").alias(id_col), (fold("_d", folds) == held_out).alias("held_out"), "score",
+    return d.select(F.col("_d").alias(id_col), F.coalesce(fold("_d", folds) == held_out, F.lit(False)).alias("held_out"), "score",
                     (F.col("score") >= threshold).cast("int").alias("predicted"))
