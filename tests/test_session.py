@@ -18,3 +18,25 @@ def test_configure_and_checkpoint(spark):
         spark.conf.set("spark.sql.shuffle.partitions", old)
     d = checkpoint_dir(spark)
     assert d and spark.conf.get("spark.checkpoint.dir") == d
+
+
+def test_scratch_blocks_belong_to_their_thread(spark):
+    """A table written while another thread has a block open outlives that block."""
+    from threading import Event, Thread
+
+    from tillpoint.session import materialize, scratch
+    opened, written, inner = Event(), Event(), []
+
+    def other():
+        with scratch():
+            inner.append(materialize(spark.range(2), "inner"))
+            opened.set()
+            written.wait(60)
+
+    t = Thread(target=other)
+    t.start()
+    assert opened.wait(60)
+    mine = materialize(spark.range(5), "outer")
+    written.set()
+    t.join()
+    assert mine.count() == 5 and len(inner) == 1

@@ -15,6 +15,7 @@ import tempfile
 import uuid
 import zipfile
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
@@ -105,8 +106,8 @@ def materialize(df, name: str):
     path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     table = spark.read.schema(df.schema).parquet(path)   # known schema: no footer scan
-    if _open:
-        _open[-1].tables.append((table, path))
+    if _open.get():
+        _open.get()[-1].tables.append((table, path))
     return table
 
 
@@ -123,7 +124,8 @@ class Scratch:
         return table
 
 
-_open: list[Scratch] = []
+#: the open blocks of this thread (a stream's batches and other queries have their own)
+_open: ContextVar[tuple[Scratch, ...]] = ContextVar("open_scratch_blocks", default=())
 
 
 @contextmanager
@@ -132,17 +134,18 @@ def scratch():
     not kept; kept ones belong to the enclosing block, if any.  For results
     that no longer read the others, i.e. are materialised themselves."""
     block = Scratch()
-    _open.append(block)
+    outer = _open.get()
+    _open.set((*outer, block))
     try:
         yield block
     finally:
-        _open.pop()
+        _open.set(outer)
     kept = {path for _, path in block.kept}
     for table, path in block.tables:
         if path not in kept:
             table.sparkSession.createDataFrame([], table.schema).write.mode("overwrite").parquet(path)
-    if _open:
-        _open[-1].tables += block.kept
+    if outer:
+        outer[-1].tables += block.kept
 
 
 def shuffle_partitions_for(input_bytes: int, target_bytes: int = 256 << 20,
