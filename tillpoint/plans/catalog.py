@@ -720,7 +720,48 @@ def q_post_to_sale(spark, sf):
 SELECT *, CASE WHEN COALESCE(sold_within_3_days, false) THEN 'YES'
   WHEN first_sale_date IS NOT NULL THEN 'Delayed' ELSE 'No Sale' END AS status FROM conv""")
 def q_conversion_tracker(spark, sf):
-    return CV.tracker(conv(spark, sf))
+    """S2 + F30: the tracker CSV written, read by its schema, with a status."""
+    path = _scratch(spark, "tracker")
+    conv(spark, sf).write.option("header", True).csv(path)
+    return CV.tracker(SH.read_tracker_csv(spark, path)[0])
+
+
+_TRACKER_DAY = "day(posted_date)"
+
+
+@register("tracker_quarantine", with_(_CONV) + f"""
+, w AS (SELECT CASE WHEN {_TRACKER_DAY} <> 14 THEN product END AS product, posted_date,
+               CASE WHEN {_TRACKER_DAY} = 16 AND first_sale_date IS NOT NULL
+                    THEN CAST(posted_date - 1 AS DATE) ELSE first_sale_date END AS first_sale_date,
+               CASE WHEN {_TRACKER_DAY} = 15 THEN COALESCE(days_to_first_sale, 0) + 1 ELSE days_to_first_sale END AS days,
+               sold_within_3_days AS quick FROM conv)
+SELECT product, CASE WHEN {_TRACKER_DAY} <> 13 THEN posted_date END AS posted_date,
+       CASE WHEN {_TRACKER_DAY} = 13 THEN 'unreadable' WHEN {_TRACKER_DAY} = 14 THEN 'missing_product'
+            WHEN {_TRACKER_DAY} = 16 AND first_sale_date IS NOT NULL THEN 'sold_before_posted'
+            WHEN {_TRACKER_DAY} = 15 THEN 'days_mismatch' END AS reason,
+       CASE WHEN {_TRACKER_DAY} = 13 THEN COALESCE(product, '') || ',soon,' || COALESCE(CAST(first_sale_date AS VARCHAR), '')
+            || ',' || COALESCE(CAST(days AS VARCHAR), '') || ',' || COALESCE(CAST(quick AS VARCHAR), '') END AS raw,
+       CASE WHEN {_TRACKER_DAY} NOT IN (13, 14, 15) AND ({_TRACKER_DAY} <> 16 OR first_sale_date IS NULL) THEN
+         CASE WHEN COALESCE(quick, false) THEN 'YES' WHEN first_sale_date IS NOT NULL THEN 'Delayed'
+              ELSE 'No Sale' END END AS status
+FROM w""")
+def q_tracker_quarantine(spark, sf):
+    """A tracker CSV with faults that follow the posted day of the month:
+    unreadable dates on the 13th, no product on the 14th, wrong days on the
+    15th, sales before the post on the 16th."""
+    day = F.dayofmonth("posted_date")
+    sold = F.col("first_sale_date").isNotNull()
+    path = _scratch(spark, "tracker")
+    conv(spark, sf).select(
+        F.when(day != 14, F.col("product")).alias("product"),
+        F.when(day == 13, "soon").otherwise(F.col("posted_date").cast("string")).alias("posted_date"),
+        F.when((day == 16) & sold, F.date_sub("posted_date", 1)).otherwise(F.col("first_sale_date")).alias("first_sale_date"),
+        F.when(day == 15, F.coalesce("days_to_first_sale", F.lit(0)) + 1).otherwise(F.col("days_to_first_sale"))
+        .alias("days_to_first_sale"), "sold_within_3_days").write.option("header", True).csv(path)
+    good, held = SH.read_tracker_csv(spark, path)
+    return CV.tracker(good).select("product", "posted_date", F.lit(None).cast("string").alias("reason"),
+                                   F.lit(None).cast("string").alias("raw"), "status").unionByName(
+        held.select("product", "posted_date", "reason", "raw", F.lit(None).cast("string").alias("status")))
 
 
 @register("conversion_hist", with_(_CONV) + """
@@ -748,12 +789,6 @@ def q_conversion_kpis(spark, sf):
     return CV.conversion_kpis(conv(spark, sf))
 
 
-def _prices(spark, sf):
-    lines = SI.driver_lines(spark, sf, ("item_name",))
-    return lines.groupBy(F.col("item_name").alias("product")).agg(
-        S.safe_div(S.money_sum("unit_price"), F.count("unit_price")).alias("avg_price"))
-
-
 @register("decision_flags", with_(_CONV) + f"""
 , pr AS (SELECT p.p_name AS product, {div(money('l.l_extendedprice'), 'COUNT(l.l_extendedprice)')} AS avg_price
          FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN part p ON l.l_partkey = p.p_partkey
@@ -767,8 +802,14 @@ SELECT *, COALESCE(days_unsold >= 8 AND avg_price > 50000, false) AS slow_mover,
        COALESCE(days_unsold >= 4 AND avg_price > 30000 AND avg_price <= 50000, false) AS discount
 FROM x""")
 def q_decision_flags(spark, sf):
-    as_of = sale_dates(spark, sf).select(F.max("sale_date")).scalar()
-    return CV.decision_flags(conv(spark, sf), _prices(spark, sf), as_of)
+    """Sale dates, average prices and the last day come from one grouping of
+    the lines by product and date, written once."""
+    by_day = materialize(SI.driver_lines(spark, sf, ("item_name",)).groupBy(
+        F.col("item_name").alias("product"), F.to_date("invoice_datetime").alias("sale_date")).agg(
+            S.money_dec("unit_price").alias("_sum"), F.count("unit_price").alias("_n")), "product_days")
+    prices = by_day.groupBy("product").agg(S.safe_div(F.sum("_sum").cast("double"), F.sum("_n")).alias("avg_price"))
+    as_of = by_day.select(F.max("sale_date")).scalar()
+    return CV.decision_flags(CV.first_sale_after(posts(spark, sf), by_day), prices, as_of)
 
 
 # =============================================================== quality / monitoring
@@ -1394,7 +1435,10 @@ def q_dead_letter_replay(spark, sf):
 
 
 # =============================================================== report sink
+from functools import reduce  # noqa: E402
+
 from tillpoint.plans import report as RP  # noqa: E402
+from tillpoint.sinks import ordered as OD  # noqa: E402
 
 # sheet -> the query whose SQL states the same result
 _REPORT_SQL = {"executive_kpis": "kpi_totals", "categories": "category_rollup",
@@ -1417,3 +1461,74 @@ def _report_query(sheet: str):
 
 for _sheet, _key in _REPORT_SQL.items():
     register(f"report_{_sheet}", ORACLE[_key])(_report_query(_sheet))
+
+
+# all sheets from one scan, in long form: value and other (units, or the prior
+# period's value), n (transactions) and ratio (a share, an average or a change)
+_CONV_CLEAN = _CONV.replace("ON l.l_partkey = p.p_partkey),", f"""ON l.l_partkey = p.p_partkey
+    WHERE l.l_quantity > 0 AND p.p_name IS DISTINCT FROM 'Discount' AND o.o_orderdate >= TIMESTAMP '{SI.REPORT_START}'),""")
+_SHEET_ROWS = {
+    # sheet: SQL of the sheet, order, label, value, other, n, ratio
+    "executive_kpis": (ORACLE["kpi_totals"], "revenue", "CAST(days AS {text})", "revenue", "units", "transactions", "avg_basket"),
+    "categories": (ORACLE["category_rollup"], "revenue DESC, category", "category", "revenue", "units", "transactions", "share"),
+    "weekdays": (ORACLE["weekday_rollup"], "day_ord", "day_of_week", "revenue", "units", "transactions", "share"),
+    "daily": (ORACLE["daily_vs_avg"], "sale_date", "CAST(sale_date AS {text})", "revenue", "period_avg", "transactions",
+              "vs_avg"),
+    "price_bands": (ORACLE["price_bands"], "band_ord", "price_bucket", "revenue", "units", "line_items", "pct_revenue"),
+    "top_products": (ORACLE["top_products"], "rank", "concat(item_name, '|', category)", "revenue", "units", "transactions",
+                     "avg_price"),
+    "best_day": (ORACLE["best_day"], "revenue DESC, category", "concat(category, '|', day_of_week)", "revenue", "NULL", "NULL",
+                 "NULL"),
+    "top_customers": (ORACLE["top_customers"], "rank", "customer_name", "revenue", "units", "transactions", "share"),
+    "staff": (ORACLE["staff_rollup"], "revenue DESC, salesperson", "salesperson", "revenue", "NULL", "transactions", "share"),
+    "hours": (ORACLE["hour_buckets"].replace(EVENT_LINES, LINES + ",\n" + CLEAN).replace("elines", "clean"), "bucket_ord",
+              "time_bucket", "revenue", "NULL", "transactions", "share"),
+    "comparison": (ORACLE["period_metrics"], "metric_ord", "metric", "p2", "p1", "NULL", "pct_change"),
+    "period_categories": (ORACLE["period_categories"], "p2 DESC, category", "category", "p2", "p1", "NULL", "pct_change"),
+    "new_products": (ORACLE["new_products"], "revenue DESC, item_name", "item_name", "revenue", "NULL", "NULL", "NULL"),
+    "payments": (ORACLE["payment_mix"], "revenue DESC, channel", "concat(channel, '|', risk)", "revenue", "NULL",
+                 "transactions", "share"),
+    "conversion": (ORACLE["conversion_kpis"].replace(_CONV, _CONV_CLEAN), "posts",
+                   "concat(CAST(posts AS {text}), '|', CAST(non_converted AS {text}))", "conversion_rate", "avg_days",
+                   "converted", "share_within_3"),
+}
+
+
+def _long(sheet: str, text: str, position: str) -> list[str]:
+    _, _, label, value, other, n, ratio = _SHEET_ROWS[sheet]
+    return [f"'{sheet}' AS sheet", f"CAST({position} AS BIGINT) AS position", f"{label.format(text=text)} AS label",
+            f"CAST({value} AS DOUBLE) AS value", f"CAST({other} AS DOUBLE) AS other", f"CAST({n} AS BIGINT) AS n",
+            f"CAST({ratio} AS DOUBLE) AS ratio"]
+
+
+@register("report_full", "\nUNION ALL\n".join(
+    f"SELECT {', '.join(_long(_name, 'VARCHAR', f'row_number() OVER (ORDER BY {_row[1]})'))} FROM ({_row[0]}) s"
+    for _name, _row in _SHEET_ROWS.items()))
+def q_report_full(spark, sf):
+    """Fifteen sheets from one scan of the lines, each written in
+    its order and read back with the rows' positions."""
+    sheets = RP.report_in_one_pass(clean(spark, sf), headers(spark, sf), posts(spark, sf), P1, P2)
+    paths = RP.write_report_in_order(sheets, _scratch(spark, "report"))
+    return reduce(DataFrame.unionByName, [
+        OD.read_in_order(spark, path).selectExpr(*_long(name, "STRING", "position")) for name, path in paths.items()])
+
+
+@register("sales_in_order", "SELECT sale_id, invoice_total_raw, n_lines, items_sold, "
+          f"row_number() OVER (ORDER BY sale_id) AS position FROM ({ORACLE['build_sales']}) s")
+def q_sales_in_order(spark, sf):
+    """Sales written in ascending sale id, read back with their positions."""
+    path = OD.write_in_order(SA.build_sales(sheet_lines(spark, sf)).select(
+        "sale_id", "invoice_total_raw", "n_lines", "items_sold"), _scratch(spark, "sales-in-order"), "sale_id")
+    return OD.read_in_order(spark, path)
+
+
+@register("lines_by_day", WC + """
+SELECT sale_id, invoice_datetime, l_linenumber AS line, subtotal, row_number() OVER (ORDER BY
+  invoice_datetime, sale_id, l_linenumber, pos_item_id, l_suppkey, subtotal) AS position FROM clean""")
+def q_lines_by_day(spark, sf):
+    """All cleaned lines in date order; days, however busy, are split by
+    sale and line."""
+    lines = clean(spark, sf, ()).select("sale_id", "invoice_datetime", F.col("_row_no.l_linenumber").alias("line"), "subtotal",
+                                        F.col("_row_no").alias("_tie"))
+    path = OD.write_in_order(lines, _scratch(spark, "lines-by-day"), "invoice_datetime", "sale_id", "_tie", "subtotal")
+    return OD.read_in_order(spark, path).drop("_tie")

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillpoint.operators.lines import header_mapping, require_columns
+from tillpoint.session import materialize
 
 SHEET_FIELDS = ["sale_id", "invoice_datetime", "salesperson", "customer_name", "items_sold",
                 "payment_type", "comment", "pos_customer_id", "pos_item_id", "item_name",
@@ -54,11 +55,28 @@ def read_sheet_csv(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
     return _finish(df, [n for _, n in mapping]).select(*SHEET_SCHEMA.names)
 
 
-def read_tracker_csv(spark: SparkSession, path: str) -> DataFrame:
-    """The post-to-sale tracker CSV with a declared schema."""
-    schema = ("product string, posted_date date, first_sale_date date, "
-              "days_to_first_sale int, sold_within_3_days boolean")
-    return spark.read.schema(schema).option("header", True).csv(path)
+TRACKER_SCHEMA = ("product string, posted_date date, first_sale_date date, "
+                  "days_to_first_sale int, sold_within_3_days boolean")
+
+
+def read_tracker_csv(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """The post-to-sale tracker CSV by its declared schema, as (good rows,
+    quarantine).  A header of other names is an error.  Quarantined rows keep
+    what could be read of them and add ``raw`` (the line, if a value could not
+    be read) and ``reason``: unreadable, missing_product, missing_posted_date,
+    sold_before_posted or days_mismatch, the first that holds.  The file is
+    parsed once, into a table that both results read."""
+    rows = materialize(
+        spark.read.schema(TRACKER_SCHEMA + ", raw string").option("header", True).option("enforceSchema", False)
+        .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "raw").csv(path), "tracker")
+    days = F.datediff("first_sale_date", "posted_date")
+    reason = (F.when(F.col("raw").isNotNull(), "unreadable")
+              .when(F.coalesce(F.trim("product"), F.lit("")) == "", "missing_product")
+              .when(F.col("posted_date").isNull(), "missing_posted_date")
+              .when(days < 0, "sold_before_posted")
+              .when(~days.eqNullSafe(F.col("days_to_first_sale")), "days_mismatch"))
+    rows = rows.withColumn("reason", reason)
+    return rows.filter("reason IS NULL").drop("raw", "reason"), rows.filter("reason IS NOT NULL")
 
 
 # ------------------------------------------------------------------ workbook (.xlsx)
