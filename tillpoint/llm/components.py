@@ -42,3 +42,20 @@ def components(edges: DataFrame) -> DataFrame:
         block.keep(e)
     return e.select(F.col("a").alias("v"), F.col("b").alias("comp")).union(
         e.select(F.col("b").alias("v"), F.col("b").alias("comp")).distinct())
+
+
+def extend(comp: DataFrame | None, edges: DataFrame) -> DataFrame:
+    """``components`` of all edges so far: those behind ``comp`` (v, comp) and
+    the new ``edges`` (a, b).  Only edges between different components are
+    worked on."""
+    if comp is None:
+        return components(edges)
+    with scratch() as block:
+        for end in ("a", "b"):
+            edges = (edges.join(comp.select(F.col("v").alias(end), "comp"), end, "left")
+                     .withColumn(end, F.coalesce("comp", end)).drop("comp"))
+        joined = components(edges).toDF("v", "root")
+        old = comp.join(joined.withColumnRenamed("v", "comp"), "comp", "left").select(
+            "v", F.coalesce("root", "comp").alias("comp"))
+        new = joined.join(comp.select("v"), "v", "left_anti").toDF("v", "comp")
+        return block.keep(materialize(old.union(new), "components"))

@@ -41,7 +41,7 @@ after all ids and is reported as null.  Other columns are not read.
 
 from __future__ import annotations
 
-from functools import cache, reduce
+from functools import cache
 from math import ceil, comb
 
 import numpy as np
@@ -60,13 +60,13 @@ from tillpoint.llm.common import (
     row_id,
     scratch,
 )
-from tillpoint.llm.components import components
+from tillpoint.llm.components import extend
 from tillpoint.llm.hashing import mix, sequence_hash, shingle_hashes, word_chunks
 
 RETAINED = 96                # values in a sketch
 RARITY_BITS = 22             # the rarity table has 2^22 one-byte counts
 RARITY_VALUES = 2_500_000    # counted at once
-CORE = 0.40                  # distance from the leader up to which differences are used
+CORE = 0.55                  # distance from the leader up to which differences are used
 ROUNDS = 2                   # leaders by list, one after the other, while lists stay long
 PLAIN = 4                    # pairs by listed member at which lists count as short
 MISS = 1e-10                 # chance that a pair at the threshold shares no listed value
@@ -160,24 +160,43 @@ def _rarity(features: DataFrame) -> np.ndarray:
     return table
 
 
+def _chosen(batch: pa.RecordBatch, table: np.ndarray, num: int, den: int,
+            retained: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, value, rank) of the values that each row of ``batch`` is listed
+    under, row by row, rare values first."""
+    flat, lens = _flat(batch)
+    n = batch.column("n").to_numpy()
+    want = np.array([listed(int(x), num, den, retained) for x in n], np.int64)
+    row = np.repeat(np.arange(len(lens)), lens)
+    order = np.lexsort((flat, table[_bucket(flat)], row))
+    rank = np.arange(len(flat)) - np.repeat(np.cumsum(lens) - lens, lens)
+    first = rank < want[row]
+    return row[first], flat[order[first]].view(np.int64), rank[first].astype(np.int16)
+
+
 def _lists(table: np.ndarray, num: int, den: int, retained: int):
     def run(it):
         for batch in it:
-            if not batch.num_rows:
-                continue
-            flat, lens = _flat(batch)
-            n = batch.column("n").to_numpy()
-            want = np.array([listed(int(x), num, den, retained) for x in n])
-            row = np.repeat(np.arange(len(lens)), lens)
-            order = np.lexsort((flat, table[_bucket(flat)], row))
-            rank = np.arange(len(flat)) - np.repeat(np.cumsum(lens) - lens, lens)
-            take = order[rank < want[row]]
-            yield from batches({"k": (flat[take].view(np.int64), pa.int64()),
-                                "c": (batch.column("c").to_numpy()[row[take]], pa.int64()),
-                                "r": (rank[rank < want[row]].astype(np.int16), pa.int16())})
+            if batch.num_rows:
+                row, value, rank = _chosen(batch, table, num, den, retained)
+                yield from batches({"k": (value, pa.int64()), "c": (batch.column("c").to_numpy()[row], pa.int64()),
+                                    "r": (rank, pa.int16())})
     return run, "k long, c long, r short"
 
 
+def _listing(table: np.ndarray, num: int, den: int, retained: int):
+    """Each row with ``ls``, all values that it is listed under, in order."""
+    def run(it):
+        for batch in it:
+            if batch.num_rows:
+                row, value, _ = _chosen(batch, table, num, den, retained)
+                ls = np.split(value, np.searchsorted(row, np.arange(1, batch.num_rows)))
+                yield from batches({"c": (batch.column("c"), pa.int64()), "n": (batch.column("n"), pa.int32()),
+                                    "sk": (batch.column("sketch"), pa.list_(pa.int64())),
+                                    "ls": (ls, pa.list_(pa.int64()))})
+    return run, "c long, n int, sk array<long>, ls array<long>"
+
+
 def _pack(u: np.ndarray) -> bytes:
     """The upper 48 bits of each value: enough to tell the values of two sets
     apart, and a quarter less to move."""
@@ -374,7 +393,7 @@ def _cross_size(members: DataFrame) -> int:
     return n.agg(F.sum(F.col("n") * F.col("o"))).first()[0] or 0
 
 
-def _cross_pairs(members: DataFrame, lists: DataFrame, feats: DataFrame, num: int, den: int,
+def _cross_pairs(members: DataFrame, table: np.ndarray, feats: DataFrame, num: int, den: int,
                  retained: int) -> DataFrame:
     """Members outside a list's largest component with members of other
     components, once for each pair: in the list of the first value that both
@@ -384,10 +403,8 @@ def _cross_pairs(members: DataFrame, lists: DataFrame, feats: DataFrame, num: in
     threshold: of sets that are retained whole, by positions and then exactly;
     of others, by the values that both sketches share."""
     ids = members.select("c").distinct()
-    own = (lists.join(ids, "c", "left_semi")
-           .groupBy("c").agg(F.sort_array(F.collect_list(F.struct("r", "k")))["k"].alias("ls")))   # at most ``retained``
-    sketches = feats.select(F.col("_d").alias("c"), "n", F.col("sketch").alias("sk")).join(ids, "c", "left_semi").distinct()
-    known = materialize(members.join(own.join(sketches, "c"), "c")
+    own = feats.select(F.col("_d").alias("c"), "n", "sketch").join(ids, "c", "left_semi").dropDuplicates(["c"])
+    known = materialize(members.join(own.mapInArrow(*_listing(table, num, den, retained)), "c")
                         .withColumn("r", F.array_position("ls", F.col("k")) - 1), "far_lists")
     rest = known.filter("comp <> main").select(
         "k", *[F.col(x).alias(x + "1") for x in ("c", "comp", "n", "ls", "r", "sk")])
@@ -420,15 +437,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         table = _rarity(feats)
         keys = materialize(reps.mapInArrow(*_lists(table, num, den, retained)), "lists")
 
-        led, edges = _led(keys), []
+        led, comp = _led(keys), None
         for _ in range(ROUNDS):
             pairs = led.filter("c <> lo").select(F.col("lo").alias("a"), F.col("c").alias("b")).distinct()
             # partners of a member within CORE of the leader are within this reach of it
             near = _measured(pairs, feats, texts, shingle, int((num / den - CORE) * 100), 100, retained)
-            edges.append(near.filter(_reaches(num, den, F.col("na"), F.col("nb"), F.size("diff"))).select("a", "b"))
-            comp = components(reduce(DataFrame.union, edges))
-            edges.append(_links_by_difference(near, comp, num, den))
-            comp = components(reduce(DataFrame.union, edges))
+            comp = extend(comp, near.filter(_reaches(num, den, F.col("na"), F.col("nb"), F.size("diff"))).select("a", "b"))
+            comp = extend(comp, _links_by_difference(near, comp, num, den))
             core = near.filter(_reaches(round(100 * (1 - CORE)), 100, F.col("na"), F.col("nb"), F.size("diff"))).select(
                 F.col("a").alias("lo"), F.col("b").alias("c")).distinct()
             far = _far_members(led, core, comp)
@@ -437,9 +452,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 break
             led = _led(far.select("k", "c"))
         if work:
-            pairs = materialize(_cross_pairs(far, keys, feats, num, den, retained), "far_pairs")
-            edges.append(_measured(pairs, feats, texts, shingle, num, den, retained).select("a", "b"))
-            comp = components(reduce(DataFrame.union, edges))
+            pairs = materialize(_cross_pairs(far, table, feats, num, den, retained), "far_pairs")
+            comp = extend(comp, _measured(pairs, feats, texts, shingle, num, den, retained).select("a", "b"))
         out = member.join(comp.withColumnRenamed("v", "c"), "c", "left").select(
             "_d", "_h", F.col("n").cast("long").alias("n_shingles"), F.coalesce("comp", "c").alias("comp"))
         return block.keep(materialize(out, "near_duplicate_groups"))
