@@ -17,15 +17,15 @@ smallest hashes of the set are its bottom-k sketch.
    screened by sizes, then by an estimate from the bottom of the union of both
    sketches, and then measured on the full sets; what moves between tasks gets
    wider only for what is left.
-4. Members near their leader (distance up to CORE) can be linked only with
-   documents within CORE + 1 - threshold of it (Jaccard distance is a metric).
+4. Members near their leader (distance up to a value of CORES) can be linked
+   only with documents within that value + 1 - threshold of it (Jaccard distance is a metric).
    These are described by their differences from the group's majority set.
    Two members are linked if their differences are few enough together, or
    cancel because they share some.  Links of the first kind imply a link to
    the member with the fewest differences; those of the second kind are found
    in inverted lists of difference values under a prefix filter.
 5. Members far from their leader form shorter lists with leaders of their own
-   (steps 3 and 4 again, up to ROUNDS times while the lists are long).  What
+   (steps 3 and 4 again, once for each of CORES while the lists are long).  What
    is then far is compared pair by pair: in each list those outside the
    largest component with those of other components.  A pair is made in the
    first list that both are in, and only if positions and sketches leave room
@@ -66,8 +66,10 @@ from tillpoint.llm.hashing import mix, sequence_hash, shingle_hashes, word_chunk
 RETAINED = 96                # values in a sketch
 RARITY_BITS = 22             # the rarity table has 2^22 one-byte counts
 RARITY_VALUES = 2_500_000    # counted at once
-CORE = 0.55                  # distance from the leader up to which differences are used
-ROUNDS = 2                   # leaders by list, one after the other, while lists stay long
+# distance from the leader up to which differences are used, for leaders by
+# list, one after the other, while lists stay long; the sketches still screen
+# the many pairs of the first
+CORES = (0.40, 0.55)
 PLAIN = 4                    # pairs by listed member at which lists count as short
 MISS = 1e-10                 # chance that a pair at the threshold shares no listed value
 
@@ -438,13 +440,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         keys = materialize(reps.mapInArrow(*_lists(table, num, den, retained)), "lists")
 
         led, comp = _led(keys), None
-        for _ in range(ROUNDS):
+        for core_reach in CORES:
             pairs = led.filter("c <> lo").select(F.col("lo").alias("a"), F.col("c").alias("b")).distinct()
-            # partners of a member within CORE of the leader are within this reach of it
-            near = _measured(pairs, feats, texts, shingle, int((num / den - CORE) * 100), 100, retained)
+            # partners of a member within core_reach of the leader are within this reach of it
+            near = _measured(pairs, feats, texts, shingle, int((num / den - core_reach) * 100), 100, retained)
             comp = extend(comp, near.filter(_reaches(num, den, F.col("na"), F.col("nb"), F.size("diff"))).select("a", "b"))
             comp = extend(comp, _links_by_difference(near, comp, num, den))
-            core = near.filter(_reaches(round(100 * (1 - CORE)), 100, F.col("na"), F.col("nb"), F.size("diff"))).select(
+            core = near.filter(_reaches(round(100 * (1 - core_reach)), 100, F.col("na"), F.col("nb"), F.size("diff"))).select(
                 F.col("a").alias("lo"), F.col("b").alias("c")).distinct()
             far = _far_members(led, core, comp)
             work = _cross_size(far)
