@@ -906,6 +906,7 @@ def q_kpi_display(spark, sf):
 
 
 # =============================================================== sinks
+from tillpoint.sinks import dated as DT  # noqa: E402
 from tillpoint.sinks import tables as TB  # noqa: E402
 
 UPSERT_TARGET_END = "1997-01-01"
@@ -1252,8 +1253,8 @@ def q_stream_dedup(spark, sf):
 @register("stream_ingest", ORACLE["db_row"])
 def q_stream_ingest(spark, sf):
     """Sheet exports landing as four files, ingested by an
-    availableNow stream in micro-batches of two files with idempotent,
-    bucket-local upserts.  Each export holds whole invoices with their lines
+    availableNow stream in micro-batches of two files with idempotent
+    upserts by date.  Each export holds whole invoices with their lines
     in line order (as a point-of-sale export does), so the ingested tables
     equal the batch ``db_row``."""
     landing, out, ck = _scratch(spark, "landing"), _scratch(spark, "tables"), _scratch(spark, "ck")
@@ -1266,7 +1267,7 @@ def q_stream_ingest(spark, sf):
         .option("ignoreTrailingWhiteSpace", False).csv(landing)
     q = IG.start_ingest(spark, landing, table(spark, sf, "customer"), out, ck, max_files=2)
     q.awaitTermination()
-    return TB.read_bucketed(spark, f"{out}/sales")
+    return DT.read_dated(spark, f"{out}/sales")
 
 
 # =============================================================== more lookups, rounding, stream twins
