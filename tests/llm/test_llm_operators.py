@@ -274,12 +274,57 @@ def test_decontamination_finds_changed_passages(spark, edge):
     more = spark.createDataFrame([(50, changed), (51, far), (52, " ".join(w[10:24]))], "doc_id long, text string")
     got = {r.doc_id: r.contaminated for r in decontaminate.report(more, bench, block_words=5).collect()}
     assert got == {50: True, 51: False, 52: True}
+    short = decontaminate.report(more.limit(0).union(spark.createDataFrame(
+        [(60, "far Too, short!"), (61, "too very short"), (62, "too")], "doc_id long, text string")), bench)
+    assert {r.doc_id: r.n_items for r in short.collect()} == {60: 1, 61: 0, 62: 0}
     flagged = {r.doc_id for r in decontaminate.report(edge, bench).collect() if r.contaminated}
     assert flagged == {1, 2, 3, 7}
     kept = decontaminate.drop_contaminated(edge, bench)
     assert kept.columns == edge.columns and kept.count() == edge.count() - 5
 
 
+def test_masks_of_short_items_cover_every_tolerated_change():
+    from itertools import combinations
+    for n in range(1, decontaminate.WINDOW):
+        changes = 0 if n < decontaminate.MIN_ITEM else n * (100 - decontaminate.AGREE_PCT) // 100
+        masks = decontaminate.short_masks(n, decontaminate.AGREE_PCT)
+        for p in combinations(range(n), changes):
+            assert any(all(m[i] == "0" for i in p) for m in masks)
+
+
+def plain_overlap(item, text):
+    """Some aligned 13 words (short items: the whole item) at least 80 % equal."""
+    a, b = ("".join(c if c.isalnum() or ord(c) >= 128 else " " for c in t.lower()).split() for t in (item, text))
+    size = min(decontaminate.WINDOW, len(a))
+    need = 100 if len(a) < decontaminate.MIN_ITEM else decontaminate.AGREE_PCT
+    return size > 0 and any(
+        sum(x == y for x, y in zip(a[i:i + size], b[j:j + size], strict=True)) * 100 >= need * size
+        for i in range(len(a) - size + 1) for j in range(len(b) - size + 1))
+
+
+def test_decontamination_equals_a_plain_compare(spark):
+    import random
+    rnd = random.Random(7)
+    vocabulary = [f"w{i}" for i in range(400)]
+    items = [[rnd.choice(vocabulary) for _ in range(n)]
+             for n in [0, *range(3, 30), *range(3, 20)]]
+    texts = [[rnd.choice(vocabulary) for _ in range(rnd.randrange(40))] for _ in range(30)]
+    for item in items * 4:
+        part = item[:] if rnd.random() < 0.5 else item[rnd.randrange(5):][:rnd.randrange(5, 40)]
+        for i in rnd.sample(range(len(part)), min(len(part), rnd.randrange(5))):
+            part[i] = rnd.choice(["Other", part[i].upper() + "!", part[i]])
+        around = [rnd.choice(vocabulary) for _ in range(rnd.randrange(20))]
+        texts.append(around + part + around[::-1])
+    names, bodies = [" ".join(i) for i in items], [" ".join(t) for t in texts]
+    bench = spark.createDataFrame(list(enumerate(names)), "item_id long, text string")
+    docs = spark.createDataFrame(list(enumerate(bodies)), "doc_id long, text string")
+    want = {i: sum(plain_overlap(n, t) for n in names) for i, t in enumerate(bodies)}
+    for size in (10, 200_000):
+        got = {r.doc_id: r.n_items for r in decontaminate.report(docs, bench, block_words=size).collect()}
+        assert got == want
+    assert 0 < sum(map(bool, want.values())) < len(want)
+
+
 def test_whole_passages_of_the_benchmark_are_found(docs, spark):
     bench = spark.read.parquet(f"{SF}/benchmark.parquet")
     texts = [r.text for r in bench.collect()]
@@ -446,4 +491,4 @@ def test_pipeline_stages(spark):
 def decontaminated(text, bench):
     block = decontaminate.Block([(str(i), decontaminate.normal(b)) for i, b in enumerate(bench)])
     w = next(iter(decontaminate.word_chunks([decontaminate.normal(text)])))[1]
-    return bool(block.matches(w, decontaminate.WINDOW, decontaminate.AGREE_PCT))
+    return bool(block.matches(w))

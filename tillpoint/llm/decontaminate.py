@@ -6,11 +6,17 @@ consecutive words; the hash of the words under its ones ignores the others, so
 a hit survives a changed word at an ignored position.  The masks' hashes of
 all benchmark positions are joined with those of all document positions, and
 every hit is verified on its diagonal: some ``window`` aligned words around it
-of which at least ``agree_pct`` percent are equal (an item shorter than the
-window is taken whole; items under ``MIN_ITEM`` words are not used).
+of which at least ``agree_pct`` percent are equal.
 
 The masks are chosen so that any placement of the changes that the verified
-window tolerates leaves a hit (``uncovered`` lists exceptions: none).
+window tolerates leaves a hit (``uncovered`` lists exceptions: none, for the
+window and percentage above).  An item shorter than the window is taken whole,
+with masks of its own (``short_masks``): for ``c`` tolerated changes the
+positions are dealt out in ``c + 1`` classes, of which one stays unchanged
+wherever the changes fall.  Items under ``MIN_ITEM`` words are found where all
+their words stand in a row, unchanged; an item of a word or two therefore
+meets every document that has it, and the benchmark should not hold such.
+Items without words match nothing.
 
 The benchmark is the stated query set: it goes to the tasks as sorted hashes
 and words, in blocks of at most ``block_words`` words (by hash of the item),
@@ -66,33 +72,47 @@ def seed_hashes(words: np.ndarray, mask: str) -> np.ndarray:
     return mix(acc)
 
 
+def short_masks(words: int, agree_pct: int, min_item: int = MIN_ITEM) -> list[str]:
+    """Masks over a whole item of ``words`` words, one of which ignores any
+    placement of the tolerated changes."""
+    classes = 1 if words < min_item else words * (100 - agree_pct) // 100 + 1
+    return ["".join("1" if i % classes == k else "0" for i in range(words)) for k in range(classes)]
+
+
 class Block:
     """Hashes and words of some benchmark items, for lookups in a task."""
 
     FILTER = 1 << 20
 
-    def __init__(self, items: list[tuple[str, bytes]]):
+    def __init__(self, items: list[tuple[str, bytes]], window: int = WINDOW, agree_pct: int = AGREE_PCT):
         self.names, self.words = [], []
+        self.window, self.agree_pct = window, agree_pct
         for name, text in items:
             for _, w, _ in word_chunks([text]):
-                if len(w) >= MIN_ITEM:
+                if len(w):
                     self.names.append(name)
                     self.words.append(w)
-        self.seeds = []
-        for m in MASKS:
-            h = [seed_hashes(w, m) for w in self.words]
-            item = np.repeat(np.arange(len(h)), [len(x) for x in h])
-            pos = np.concatenate([np.arange(len(x)) for x in h]) if h else np.zeros(0, int)
-            h = np.concatenate(h) if h else np.zeros(0, np.uint64)
-            o = np.argsort(h, kind="stable")
-            seen = np.zeros(self.FILTER, bool)
-            seen[h & np.uint64(self.FILTER - 1)] = True
-            self.seeds.append((h[o], item[o], pos[o], seen))
-
-    def matches(self, w: np.ndarray, window: int, agree_pct: int) -> set[int]:
+        by_mask: dict[str, list[int]] = {}
+        for i, w in enumerate(self.words):
+            for m in MASKS if len(w) >= window else short_masks(len(w), agree_pct):
+                by_mask.setdefault(m, []).append(i)
+        self.seeds = [(m, *self._table(m, of)) for m, of in by_mask.items()]
+
+    def _table(self, mask: str, of: list[int]):
+        """Sorted hashes of these items under a mask, with items and places."""
+        h = [seed_hashes(self.words[i], mask) for i in of]
+        item = np.repeat(np.array(of), [len(x) for x in h])
+        pos = np.concatenate([np.arange(len(x)) for x in h])
+        h = np.concatenate(h)
+        o = np.argsort(h, kind="stable")
+        seen = np.zeros(self.FILTER, bool)
+        seen[h & np.uint64(self.FILTER - 1)] = True
+        return h[o], item[o], pos[o], seen
+
+    def matches(self, w: np.ndarray) -> set[int]:
         """Items of which ``w`` holds a verified overlap."""
         found, tried = set(), set()
-        for m, (hashes, items, places, seen) in zip(MASKS, self.seeds, strict=True):
+        for m, hashes, items, places, seen in self.seeds:
             h = seed_hashes(w, m)
             at = np.flatnonzero(seen[h & np.uint64(self.FILTER - 1)])
             if not len(at):
@@ -103,28 +123,29 @@ class Block:
                     item, shift = int(items[i]), p - int(places[i])
                     if item not in found and (item, shift) not in tried:
                         tried.add((item, shift))
-                        if self._verified(w, item, shift, window, agree_pct):
+                        if self._verified(w, item, shift):
                             found.add(item)
         return found
 
-    def _verified(self, w: np.ndarray, item: int, shift: int, window: int, agree_pct: int) -> bool:
+    def _verified(self, w: np.ndarray, item: int, shift: int) -> bool:
         x = self.words[item]
-        size = min(window, len(x))
+        size = min(self.window, len(x))
         lo, hi = max(0, -shift), min(len(x), len(w) - shift)
         if hi - lo < size:
             return False
         same = np.concatenate([[0], np.cumsum(x[lo:hi] == w[lo + shift:hi + shift])])
-        return int((same[size:] - same[:-size]).max()) * 100 >= agree_pct * size
+        need = 100 if len(x) < MIN_ITEM else self.agree_pct
+        return int((same[size:] - same[:-size]).max()) * 100 >= need * size
 
 
-def _scan(block: Block, window: int, agree_pct: int):
+def _scan(block: Block):
     def run(it):
         for batch in it:
             texts = [normal(t) for t in batch.column("_t").to_pylist()]
             rows, items = [], []
             for first, words, off in word_chunks(texts):
                 for j in range(len(off) - 1):
-                    for i in block.matches(words[off[j]:off[j + 1]], window, agree_pct):
+                    for i in block.matches(words[off[j]:off[j + 1]]):
                         rows.append(first + j)
                         items.append(block.names[i])
             take = pa.array(rows, pa.int64())
@@ -147,8 +168,8 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
     found = None
     for b in range(blocks):
         rows = items.filter(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == b).distinct().collect()
-        block = Block(sorted((r.i or "", normal(r.t)) for r in rows))
-        hits = texts.mapInArrow(_scan(block, window, agree_pct), "_d long, _h long, item string")
+        block = Block(sorted((r.i or "", normal(r.t)) for r in rows), window, agree_pct)
+        hits = texts.mapInArrow(_scan(block), "_d long, _h long, item string")
         found = hits if found is None else found.union(hits)
     return found.distinct()
 
