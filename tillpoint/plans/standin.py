@@ -68,7 +68,11 @@ def driver_lines(spark: SparkSession, sf_dir: str, need=("category", "customer",
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice")
     o = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "o_totalprice")
-    df = li.join(o, li.l_orderkey == o.o_orderkey)
+    # the joined rows are several times as wide as the shuffled ones, and distinct
+    # sales are counted behind the join without another shuffle: a task holds the
+    # groups of its whole partition, so small partitions are not merged by their bytes
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df = li.repartition(parts, "l_orderkey").join(o, li.l_orderkey == o.o_orderkey)
     cols = [
         F.col("l_orderkey").alias("sale_id"),
         F.col("o_orderdate").alias("invoice_datetime"),
