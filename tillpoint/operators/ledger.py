@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillpoint.functions import scalars as S
+from tillpoint.session import by_shuffle
 
 
 def ledger_rows(sales: DataFrame) -> DataFrame:
@@ -32,13 +33,13 @@ def _scoped(ledger: DataFrame, scope: str) -> DataFrame:
 def new_sales(incoming: DataFrame, ledger: DataFrame, scope: str = "persisted") -> DataFrame:
     """Accepted incoming sales not yet in the ledger, one row per id."""
     acc = incoming.filter("accepted").dropDuplicates(["sale_id"])
-    return acc.join(_scoped(ledger, scope).select("sale_id"), "sale_id", "left_anti")
+    return acc.join(by_shuffle(_scoped(ledger, scope).select("sale_id")), "sale_id", "left_anti")
 
 
 def tag_outcomes(incoming: DataFrame, ledger: DataFrame, scope: str = "persisted") -> DataFrame:
     """Each incoming sale tagged inserted / duplicate / failed."""
     seen = _scoped(ledger, scope).select("sale_id").distinct().withColumn("_seen", F.lit(True))
-    t = incoming.join(seen, "sale_id", "left")
+    t = incoming.join(by_shuffle(seen), "sale_id", "left")
     return t.withColumn("outcome", F.when(~F.col("accepted"), "failed")
                         .when(F.col("_seen"), "duplicate").otherwise("inserted")).drop("_seen")
 

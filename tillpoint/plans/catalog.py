@@ -438,6 +438,11 @@ def q_reference_scan(spark, sf):
 # ledger: sales loaded by earlier runs = accepted sales dated before the report start
 
 
+# what the ledger and the outcome of a sale are taken from; the other columns of
+# the validated sales need not be parsed nor written for them
+LEDGER_COLS = ["sale_id", "invoice_datetime", "accepted"]
+
+
 def ledger_of(v):
     return LG.ledger_rows(v.filter(F.col("accepted") & (F.col("invoice_datetime") <
                                    F.lit(SI.REPORT_START).cast("timestamp_ntz"))))
@@ -451,7 +456,7 @@ _LEDGER = f"""ledger AS (SELECT DISTINCT sale_id FROM validated
 SELECT DISTINCT v.sale_id, sha256(CAST(v.sale_id AS VARCHAR)) AS fingerprint FROM validated v
 WHERE v.accepted AND v.sale_id NOT IN (SELECT sale_id FROM ledger)""")
 def q_dedup_ledger(spark, sf):
-    v = materialize(validated(spark, sf), "validated")
+    v = materialize(validated(spark, sf).select(*LEDGER_COLS), "validated")
     return LG.ledger_rows(LG.new_sales(v, ledger_of(v)))
 
 
@@ -462,7 +467,7 @@ SELECT COUNT(*) AS loaded,
   COUNT(*) FILTER (WHERE NOT accepted) AS failed
 FROM validated""")
 def q_run_summary(spark, sf):
-    v = materialize(validated(spark, sf), "validated")
+    v = materialize(validated(spark, sf).select(*LEDGER_COLS), "validated")
     return LG.run_summary(LG.tag_outcomes(v, ledger_of(v)))
 
 
