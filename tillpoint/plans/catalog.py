@@ -1172,8 +1172,9 @@ def q_workbook_scan(spark, sf):
     path = _scratch(spark, "sheet-export")
     sh = SI.driver_sheet(spark, sf).select(
         *[F.col(c).cast("string").alias(h) for c, h in zip(_SHEET_ORDER, SHEET_HEADERS)])
+    # exports are text of many equal parts; each task writes and reads its own file
     sh.write.option("header", True).option("ignoreLeadingWhiteSpace", False) \
-        .option("ignoreTrailingWhiteSpace", False).csv(path)
+        .option("ignoreTrailingWhiteSpace", False).option("compression", "snappy").csv(path)
     return SA.parsed_lines(SH.read_sheet_csv(spark, path)).select(
         "sale_id", "sale_id_raw", "invoice_datetime", "salesperson", "item_name", "quantity",
         "line_total", "invoice_total")
