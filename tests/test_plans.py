@@ -4,9 +4,16 @@ projections reach the scans."""
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
 from tests.conftest import SF_SMALL
+from tillpoint.operators import fuzzy_match as FZ
+from tillpoint.operators import sales as SA
+from tillpoint.plans import catalog as C
+from tillpoint.plans import standin as SI
+from tillpoint.sinks import tables as TB
+from tillpoint.sources import receipts as RC
 
 STREAMING_OR_SCAN = {"stream_ingest", "stream_dedup", "stale_sessions", "windowed_errors_stream",
                      "workbook_scan"}
@@ -39,3 +46,31 @@ def test_projection_pruned_at_scan(spark):
     p = _plan(queries()["kpi_totals"](spark, SF_SMALL))
     li = [ln for ln in p.split("\n") if "FileScan parquet" in ln and "l_orderkey" in ln]
     assert li and all("l_shipdate" not in ln and "l_tax" not in ln for ln in li)
+
+
+def test_sheet_broadcasts_neither_items_nor_customers(spark):
+    plan = SI.driver_sheet(spark, SF_SMALL)._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("SortMergeJoin") >= 2 and plan.count("BroadcastHashJoin") <= 2
+
+
+def test_rarest_tokens_are_not_broadcast(spark):
+    q = spark.createDataFrame([("ada obi",)], "_q string")
+    freq = FZ._frequency(FZ._keys(spark.createDataFrame([("ada",)], "_r string"), "_r", [], False))
+    out = FZ._rarest_tokens(q, "_q", freq)
+    assert "Broadcast" not in out._jdf.queryExecution().sparkPlan().toString()
+    assert sorted(r["_key"] for r in out.collect()) == ["wobi"]
+
+
+def test_letters_read_the_sheet_once(spark):
+    lines = SA.parsed_lines(SI.driver_sheet(spark, SF_SMALL))
+    letters = TB.raw_letters(lines, lines.filter("sale_id % 3 = 0").select("sale_id").distinct(), F.col("_row_no.l_linenumber"))
+    assert all("/tables/rejected_lines-" in f for f in letters.inputFiles())
+    assert letters.select(F.explode(F.from_json("payload", TB._RAW_SCHEMA)["lines"])).count() == \
+        lines.filter("sale_id % 3 = 0").count()
+
+
+def test_receipts_move_no_page_text_and_cut_each_text_once(spark):
+    plan = C.receipt_pages(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert not [x for x in plan.splitlines() if "collect_list" in x and "tbody" in x]
+    cut = RC.extract_receipts(spark.createDataFrame([(1, "u", "")], "page_id long, url string, html string"))
+    assert cut._jdf.queryExecution().optimizedPlan().toString().count("transform(") <= 20
