@@ -53,6 +53,13 @@ def test_sheet_broadcasts_neither_items_nor_customers(spark):
     assert plan.count("SortMergeJoin") >= 2 and plan.count("BroadcastHashJoin") <= 2
 
 
+def test_sheet_broadcasts_no_table_and_deals_no_line_by_customer(spark):
+    plan = SI.driver_sheet(spark, SF_SMALL)._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("SortMergeJoin") == 4 and "Broadcast" not in plan
+    by_customer = plan[plan.index("SortMergeJoin [o_custkey"):]
+    assert "l_orderkey" not in by_customer
+
+
 def test_rarest_tokens_are_not_broadcast(spark):
     q = spark.createDataFrame([("ada obi",)], "_q string")
     freq = FZ._frequency(FZ._keys(spark.createDataFrame([("ada",)], "_r string"), "_r", [], False))
