@@ -243,6 +243,29 @@ def test_dense_group_of_near_copies(spark):
     assert got == plain_components(rows, 3, 85, 100)
 
 
+def test_sketches_of_far_members_are_not_dealt_out_to_be_looked_up(spark, monkeypatch):
+    import numpy as np
+    members = spark.createDataFrame([(7, 1, 1, 1), (7, 2, 2, 1), (7, 4, 4, 1)], "k long, c long, comp long, main long")
+    feats = spark.createDataFrame([(i, 2, [7, 8]) for i in (1, 2, 2, 3, 4)], "_d long, n int, sketch array<long>")
+    plans = {}
+
+    def seen(df, name):
+        plans[name] = df._jdf.queryExecution().sparkPlan().toString()
+        return df
+
+    monkeypatch.setattr(minhash_dedup, "materialize", seen)
+    table = np.zeros(1 << minhash_dedup.RARITY_BITS, np.uint8)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        got = minhash_dedup._cross_pairs(members, table, feats, 85, 100, minhash_dedup.RETAINED)
+        assert sorted(tuple(r) for r in got.collect()) == [(1, 2), (1, 4), (2, 4)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    semi = [x for x in plans["far_lists"].splitlines() if "LeftSemi" in x]
+    assert len(semi) == 1 and "BroadcastHashJoin" in semi[0]
+
+
 def test_one_row_of_each_near_duplicate_group_stays(spark):
     """Null-id copies, repeated rows, and one id with near or other texts."""
     a, b, c, e = (" ".join(f"{x}{i * i}" for i in range(80)) for x in "abce")

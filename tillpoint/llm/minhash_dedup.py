@@ -404,8 +404,8 @@ def _cross_pairs(members: DataFrame, table: np.ndarray, feats: DataFrame, num: i
     are met with sketches, so that the join itself drops what cannot reach the
     threshold: of sets that are retained whole, by positions and then exactly;
     of others, by the values that both sketches share."""
-    ids = members.select("c").distinct()
-    own = feats.select(F.col("_d").alias("c"), "n", "sketch").join(ids, "c", "left_semi").dropDuplicates(["c"])
+    ids = members.select(F.col("c").alias("_d")).distinct()
+    own = only_ids(feats.select("_d", "n", "sketch"), ids).withColumnRenamed("_d", "c").dropDuplicates(["c"])
     known = materialize(members.join(own.mapInArrow(*_listing(table, num, den, retained)), "c")
                         .withColumn("r", F.array_position("ls", F.col("k")) - 1), "far_lists")
     rest = known.filter("comp <> main").select(
