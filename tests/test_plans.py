@@ -68,6 +68,15 @@ def test_rarest_tokens_are_not_broadcast(spark):
     assert sorted(r["_key"] for r in out.collect()) == ["wobi"]
 
 
+def test_line_counts_of_sales_are_not_broadcast(spark):
+    # rows of a known, small size
+    lines = spark.sql("SELECT * FROM VALUES (1L, 5L), (1L, 200007L), (2L, 9L), (1L, 6L), (null, 4L) AS t(sale_id, _row_no)")
+    out = SA.number_lines(lines)
+    assert "Broadcast" not in out._jdf.queryExecution().sparkPlan().toString()
+    assert sorted(tuple(r) for r in out.select("sale_id", "_row_no", "_line").collect()) == [
+        (1, 5, 0), (1, 6, 1), (1, 200_007, 2), (2, 9, 0)]
+
+
 def test_letters_read_the_sheet_once(spark):
     lines = SA.parsed_lines(SI.driver_sheet(spark, SF_SMALL))
     letters = TB.raw_letters(lines, lines.filter("sale_id % 3 = 0").select("sale_id").distinct(), F.col("_row_no.l_linenumber"))
