@@ -40,3 +40,25 @@ def test_scratch_blocks_belong_to_their_thread(spark):
     written.set()
     t.join()
     assert mine.count() == 5 and len(inner) == 1
+
+
+def _shuffles(spark):
+    """Shuffles whose output is still kept."""
+    return spark.sparkContext._jsc.sc().env().mapOutputTracker().shuffleStatuses().size()
+
+
+def test_settle_releases_the_shuffles_behind_a_table(spark):
+    import gc
+    import time
+
+    from tillpoint.session import release_shuffles, settle
+    gc.collect()
+    release_shuffles(spark)
+    time.sleep(2)
+    before = _shuffles(spark)
+    t = settle(spark.range(2000).repartition(3).selectExpr("id % 7 AS k").groupBy("k").count(), "settled")
+    assert sorted(r["count"] for r in t.collect()) == [285] * 2 + [286] * 5
+    until = time.time() + 30
+    while _shuffles(spark) > before and time.time() < until:
+        time.sleep(0.2)
+    assert _shuffles(spark) <= before

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillpoint.functions import scalars as S
-from tillpoint.session import by_shuffle
+from tillpoint.session import by_shuffle, settle
 
 HEADER_FIELDS = ["invoice_datetime", "salesperson", "customer_name", "payment_type",
                  "comment", "invoice_total", "pos_customer_id"]
@@ -182,14 +182,18 @@ def number_lines(lines: DataFrame, span=None, key: str = "sale_id", order: str =
         .drop("_span", "_local", "_k", "_s", "_before")
 
 
-def nest_items(lines: DataFrame, span=None, chunk_size: int = 200, fields: list[str] | None = None) -> DataFrame:
+def nest_items(lines: DataFrame, span=None, chunk_size: int = 200, fields: list[str] | None = None,
+               name: str = "lines_to_nest") -> DataFrame:
     """N-1: the items of each sale nested in file order, as a message body.
 
     A sale's lines are numbered and split into chunks of ``chunk_size``, so no
     nested array, and no task building one, grows with the size of an invoice;
-    a consumer reassembles a sale from its chunks by key."""
+    a consumer reassembles a sale from its chunks by key.  Numbering reads the
+    lines twice, so what is needed of them is written once (as ``name``)."""
     fields = fields or ITEM_FIELDS
-    numbered = number_lines(lines, span)
+    span = F.floor(F.col("_row_no") / 100_000) if span is None else span
+    lines = settle(lines.select("sale_id", "_row_no", span.cast("bigint").alias("_at"), *fields), name)
+    numbered = number_lines(lines, F.col("_at"))
     entry = F.struct(F.col("_line").alias("_o"), *[F.col(c) for c in fields])
     g = numbered.groupBy("sale_id", F.floor(F.col("_line") / chunk_size).cast("bigint").alias("chunk")).agg(
         F.array_sort(F.collect_list(entry)).alias("_items"))

@@ -304,7 +304,7 @@ from tillpoint.plans.sqlparts import (PAYMENT_TEXT as PAYMENT_TEXT_O, PLINES,  #
                                       SALE_AGG, SHEET, change_due,
                                       clean_text, is_anon, parse_dt_multi, parse_int,
                                       parse_money, parse_sale_id, payments, stable_shard)
-from tillpoint.session import by_shuffle, materialize  # noqa: E402
+from tillpoint.session import by_shuffle, materialize, release_shuffles, scratch, settle  # noqa: E402
 from tillpoint.sources.tables import table  # noqa: E402
 
 WS = with_(SHEET, PLINES, SALE_AGG)

@@ -12,6 +12,7 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import time
 import uuid
 import zipfile
 from contextlib import contextmanager
@@ -97,20 +98,44 @@ def ship_package(spark: SparkSession) -> None:
     _shipped.add(sc.applicationId)
 
 
-def materialize(df, name: str):
+def materialize(df, name: str, compression: str = "snappy"):
     """Write ``df`` once as parquet under the shared checkpoint folder and
     read it back: cuts the lineage and lets several branches of a plan use
     the result without recomputing it (a lost executor re-reads the files
     instead of recomputing the whole chain)."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     table = spark.read.schema(df.schema).parquet(path)   # known schema: no footer scan
     if _open.get():
         _open.get()[-1].tables.append((table, path))
     return table
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Have the files of finished shuffles removed.  Spark keeps them until the
+    driver's garbage collection meets the plans that made them, which a driver
+    with room to spare does not reach within a query: the disk would hold the
+    shuffles of all its steps at once.  So the collection is asked for where a
+    step with large shuffles has ended; what a first one lets go of still holds
+    the shuffles, and a second one, a moment later, meets these."""
+    try:
+        system = spark.sparkContext._jvm.System
+    except Exception:  # connect sessions have no SparkContext
+        return
+    system.gc()
+    time.sleep(0.2)
+    system.gc()
+
+
+def settle(df, name: str):
+    """``materialize`` for a table behind large shuffles: they are released, and
+    the table itself takes little of the disk too."""
+    table = materialize(df, name, compression="zstd")
+    release_shuffles(df.sparkSession)
+    return table
+
+
 def by_shuffle(df):
     """``df`` as a side of a join that is never broadcast.  A static plan takes
     the size of a table from its compressed files and ignores what an explode
