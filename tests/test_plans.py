@@ -85,6 +85,49 @@ def test_letters_read_the_sheet_once(spark):
         lines.filter("sale_id % 3 = 0").count()
 
 
+def _reads(df) -> str:
+    return " ".join(df.inputFiles())
+
+
+def test_nesting_reads_the_lines_once(spark):
+    lines = spark.range(450).selectExpr("id % 3 AS sale_id", "id AS _row_no", *[f"CAST(id AS STRING) AS {c}" for c in SA.ITEM_FIELDS])
+    n = SA.nest_items(lines, chunk_size=60)
+    assert "Range (" not in _plan(n) and "/tables/lines_to_nest-" in _reads(n)
+    assert sorted((r["sale_id"], r["chunk"], len(r["items"])) for r in n.collect()) == [
+        (s, c, 60 if c < 2 else 30) for s in range(3) for c in range(3)]
+
+
+@pytest.mark.parametrize("key", ["dead_letter", "dead_letter_replay", "sale_message"])
+def test_the_sheet_is_built_once(spark, key, monkeypatch):
+    built, real = [], SI.driver_sheet
+    monkeypatch.setattr(SI, "driver_sheet", lambda *a: (built.append(a), real(*a))[1])
+    df = queries()[key](spark, SF_SMALL)
+    assert len(built) == 1 and "lineitem" not in _reads(df) and "orders" not in _reads(df)
+
+
+def test_payments_are_parsed_once_over_all_tasks(spark):
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert C.headers(spark, SF_SMALL).rdd.getNumPartitions() == parts > 1
+    sales = spark.createDataFrame([(1, "Cash: N5 Access Bank: N7"), (2, "Cash: x"), (3, None), (4, "Chips: N1")], "sale_id long, t string")
+    paid, lost = C.RV.payment_rows(sales.select("sale_id", C.S.parse_payments("t").alias("payments")), C.RV.account_table(spark))
+    for df in (paid, lost):
+        assert "/tables/payments-" in _reads(df) and "regexp_extract_all" not in _plan(df)
+    assert sorted((r["sale_id"], r["pos"], r["account"], r["amount"]) for r in paid.collect()) == [
+        (1, 0, "CASH PAYMENT", "5"), (1, 1, "ACCESS BANK", "7")]
+    assert [(r["sale_id"], r["channel"]) for r in lost.collect()] == [(4, "CHIPS")]
+
+
+def test_report_lines_are_not_dealt_by_customer(spark):
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = C.clean(spark, SF_SMALL)._jdf.queryExecution().sparkPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    by_customer = plan[plan.index("SortMergeJoin [o_custkey"):]
+    assert "l_orderkey" not in by_customer
+
+
 def test_receipts_move_no_page_text_and_cut_each_text_once(spark):
     plan = C.receipt_pages(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
     assert not [x for x in plan.splitlines() if "collect_list" in x and "tbody" in x]
