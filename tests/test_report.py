@@ -116,6 +116,22 @@ def test_cube_scans_the_lines_once(spark):
         assert "l_orderkey" not in sheet._jdf.queryExecution().executedPlan().toString()
 
 
+def test_cube_sums_are_exact_and_not_decimal(spark):
+    """Amounts whose cents together exceed a long, next to single cents."""
+    big = [(1, 9.9e15), (1, 9.9e15), (2, 0.01), (2, -0.03), (3, None)] * 30
+    lines = spark.createDataFrame([(s, dt.datetime(1996, 5, 1, 9), "i", "c", "n", "p", 1.5, None, x) for s, x in big], LINES)
+    c = RP.cube(lines, P1, P2)
+    r = c.all("all").first()
+    assert str(r["rev"]) == "593999999999999999.40" and r["transactions"] == 3 and r["units"] == 225.0 and r["n_prices"] == 0
+    seen, real = [], RP.materialize
+    try:
+        RP.materialize = lambda df, name: (seen.append(df._jdf.queryExecution().optimizedPlan().toString()), real(df, name))[1]
+        RP.cube(lines, P1, P2)
+    finally:
+        RP.materialize = real
+    assert [x for x in seen[0].split("\n") if "Aggregate" in x] and "sum(rev_u" in seen[0] and "sum(rev#" not in seen[0]
+
+
 def test_tracker_quarantine(spark, tmpdir_path):
     path = os.path.join(tmpdir_path, "t.csv")
     with open(path, "w") as f:
